@@ -1,0 +1,7 @@
+"""No streaming part.
+
+The reference job is a single batch pass over monthly files: it has no stream,
+watermark, event-time window or state. The reports here are batch DataFrame
+plans; a caller that receives new monthly files reruns them (each report is an
+idempotent overwrite of its target).
+"""
