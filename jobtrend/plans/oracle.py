@@ -209,7 +209,7 @@ def growth_sql(
 RANK_KEYS = "supersector_name, industry_name, year, Month"
 
 
-def rank_sql(source: str, tie: str | None, methods: dict) -> list:
+def rank_sql(source: str, tie: str | None, methods: dict, rank_keys: str = RANK_KEYS) -> list:
     cols = []
     for suf in ("_mom", "_ytd", "_ann", ""):
         m = methods.get(suf, "first")
@@ -219,13 +219,13 @@ def rank_sql(source: str, tie: str | None, methods: dict) -> list:
         elif m == "first":
             cols.append(
                 f"case when {p} is not null then cast(row_number() over "
-                f"(partition by {RANK_KEYS} order by {p} desc nulls last, {tie}) as double) end as rank{suf}"
+                f"(partition by {rank_keys} order by {p} desc nulls last, {tie}) as double) end as rank{suf}"
             )
         else:
             cols.append(
-                f"case when {p} is not null then cast(rank() over (partition by {RANK_KEYS} "
+                f"case when {p} is not null then cast(rank() over (partition by {rank_keys} "
                 f"order by {p} desc nulls last) as double) + "
-                f"(cast(count(*) over (partition by {RANK_KEYS}, {p}) as double) - 1) / 2 end as rank{suf}"
+                f"(cast(count(*) over (partition by {rank_keys}, {p}) as double) - 1) / 2 end as rank{suf}"
             )
     return [("ranked", f"select *, {', '.join(cols)} from {source}")]
 
@@ -252,16 +252,18 @@ def report_sql(
     how: str,
     methods: dict,
     extra: str = "",
+    tail: Sequence[str] = ("supersector_name", "industry_name"),
+    columns: str = MEASURES,
     **growth_kw,
 ) -> str:
-    series = [*region, "supersector_name", "industry_name"]
+    series = [*region, *tail]
     keys = [*series, "year", "Month"]
     ctes = sums_sql(source, keys, left_where, right_where, how)
     if growth_kw.pop("table_scope", False):
         growth_kw["table_order"] = keys
     ctes += growth_sql("sums", series, **growth_kw)
-    ctes += rank_sql("grown", region[0] if region else None, methods)
-    final = f"select {', '.join(keys)}, {MEASURES}{extra} from ranked"
+    ctes += rank_sql("grown", region[0] if region else None, methods, ", ".join([*tail, "year", "Month"]))
+    final = f"select {', '.join(keys)}, {columns}{extra} from ranked"
     return with_ctes(ctes, final)
 
 
@@ -315,3 +317,38 @@ def area_report_sql(cohort: str = "all", **kw) -> str:
         "regional_slice", ["area_name"], f"seasonal = 'U' and {SMALL_ROWS}",
         f"seasonal = 'S' and {SMALL_ROWS}", "left", COHORT, **kw,
     )
+
+
+STRIP_CHARS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
+
+
+def strip_sql(x: str) -> str:
+    return f"trim({x}, {STRIP_CHARS})"
+
+
+def zfill_sql(x: str, width: int) -> str:
+    s = f"cast({x} as varchar)"
+    return f"case when length({s}) < {width} then lpad({s}, {width}, '0') else {s} end"
+
+
+def measure_sql(name: str) -> str:
+    """One report measure as the final select writes it (rounded where rounded)."""
+    if name.startswith("pct_change"):
+        return f"round_even(({name} * 100) * 100, 0) / 100 as {name}"
+    if name.startswith("job_growth"):
+        return f"round_even({name} * 100, 0) / 100 as {name}"
+    return name
+
+
+STATE_U = "area_name = 'Statewide' and seasonal = 'U'"
+STATE_S = "area_name = 'Statewide' and seasonal = 'S'"
+DENSE_TAIL = ("supersector_name",)
+
+
+def dense_state_sql(measures: Sequence[str], methods: dict = FIRST, **kw) -> str:
+    """Growth at the dense grain (state, supersector, year, Month)."""
+    cols = ", ".join(measure_sql(m) for m in measures)
+    return report_sql(
+        "regional_slice", ["state_name"], STATE_U, STATE_S, "left", methods,
+        tail=DENSE_TAIL, columns=cols, **kw,
+    )

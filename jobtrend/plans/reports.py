@@ -40,17 +40,19 @@ def growth_report(
     region_keys: Sequence[str],
     params: ReportParams,
     rank_methods: dict,
+    series_tail: Sequence[str] = SERIES_TAIL,
 ) -> DataFrame:
     """Windows, ranks and rounding over combined sums keyed by
-    ``region_keys + (supersector, industry, year, Month)``."""
-    series = [*region_keys, *SERIES_TAIL]
+    ``region_keys + series_tail + (year, Month)``; ranks compare regions within
+    ``series_tail + (year, Month)``."""
+    series = [*region_keys, *series_tail]
     if params.scope == "table":
         from jobtrend.operators.table_scope import add_growth_table
 
         grown = add_growth_table(sums, [*series, *TIME_KEYS], params)
     else:
         grown = add_growth(sums, series, params)
-    ranked = add_ranks(grown, RANK_KEYS, region_keys, rank_methods)
+    ranked = add_ranks(grown, [*series_tail, *TIME_KEYS], region_keys, rank_methods)
     return round_measures(ranked).select(*series, *TIME_KEYS, *measure_columns())
 
 

@@ -128,9 +128,11 @@ def supersector_code() -> Column:
     return F.ascii(F.col("l_returnflag")).cast("string")
 
 
-def observations(spark: SparkSession, sf_dir: str, series_id: Column) -> DataFrame:
+def observations(
+    spark: SparkSession, sf_dir: str, series_id: Column, lineitem: DataFrame | None = None
+) -> DataFrame:
     """Observation rows in the flat-file layout: all text, padded."""
-    li = table(spark, sf_dir, "lineitem")
+    li = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
     return li.select(
         F.rpad(series_id, SERIES_ID_WIDTH, " ").alias("series_id"),
         F.concat(F.lit(" "), year_expr()).alias("year"),
@@ -140,12 +142,12 @@ def observations(spark: SparkSession, sf_dir: str, series_id: Column) -> DataFra
     )
 
 
-def regional_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir, regional_series_id())
+def regional_observations(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    return observations(spark, sf_dir, regional_series_id(), lineitem)
 
 
-def national_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir, national_series_id())
+def national_observations(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    return observations(spark, sf_dir, national_series_id(), lineitem)
 
 
 def regional_code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
