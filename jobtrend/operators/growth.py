@@ -101,22 +101,36 @@ def add_means(df: DataFrame, frames: SeriesFrames, params: ReportParams) -> Data
     )
 
 
-def change_columns(frames: SeriesFrames, families=FAMILIES) -> list[Column]:
-    """WIN3-WIN6 for each family: unrounded ``pct_change*`` (a ratio) and ``job_growth*``."""
+def base_columns(frames: SeriesFrames, families=FAMILIES) -> list[Column]:
+    """For each family the forward-filled base and the plain shifted value, each
+    computed once (they feed both the change and the growth)."""
     out = []
     for suffix, source, k in families:
         x = F.col(source)
-        pct = ratio_change(x, frames.filled_base(x, k))
+        out.append(frames.filled_base(x, k).alias(f"_base{suffix}"))
+        out.append(frames.lag(x, k).alias(f"_shift{suffix}"))
+    return out
+
+
+def change_columns(families=FAMILIES) -> list[Column]:
+    """WIN3-WIN6 from the bases: unrounded ``pct_change*`` (a ratio) and ``job_growth*``."""
+    out = []
+    for suffix, source, _ in families:
+        pct = ratio_change(F.col(source), F.col(f"_base{suffix}"))
         out.append(pct.alias(f"pct_change{suffix}"))
-        out.append((frames.lag(x, k) * pct).alias(f"job_growth{suffix}"))
+        out.append((F.col(f"_shift{suffix}") * pct).alias(f"job_growth{suffix}"))
     return out
 
 
 def add_growth(df: DataFrame, series_keys: Sequence[str], params: ReportParams = ReportParams()) -> DataFrame:
-    """Rolling means, then changes and growth of every family (unrounded)."""
+    """Rolling means, then changes and growth of every family (unrounded).
+
+    Two window projections over the same partitioning and order (one exchange,
+    one sort), then plain arithmetic."""
     frames = SeriesFrames(series_keys, calendar=params.calendar)
     with_means = add_means(df, frames, params)
-    return with_means.select("*", *change_columns(frames))
+    with_bases = with_means.select("*", *base_columns(frames))
+    return with_bases.select(*df.columns, "value_ytd_avg", "value_ann_avg", *change_columns())
 
 
 def rank_first(pct: Column, rank_keys: Sequence[str], tie_keys: Sequence[str]) -> Column:
