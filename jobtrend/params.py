@@ -38,6 +38,7 @@ class ReportParams:
     excluded_states states left out of the regional slices.
     tidy_names      also trim the space left by removing area-name suffixes.
     data_type_code  national slices: optional data type filter (the reference has none).
+    bucket_rows     table scope only: rows per window bucket (each bucket is one task).
     """
 
     ytd_months: int = REFERENCE_YTD_MONTHS
@@ -49,6 +50,7 @@ class ReportParams:
     excluded_states: tuple[str, ...] = field(default=REFERENCE_EXCLUDED_STATES)
     tidy_names: bool = False
     data_type_code: str | None = None
+    bucket_rows: int = 65536
 
     def with_(self, **changes) -> "ReportParams":
         return replace(self, **changes)

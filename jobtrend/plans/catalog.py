@@ -386,3 +386,22 @@ _dense_query("calendar_lag", measure_columns(), doc="D2: lags and means counted
              calendar=True)
 _dense_query("calendar_ytd", ["value", "value_ytd_avg", "pct_change_ytd", "rank_ytd", "job_growth_ytd"],
              doc="D7: year-to-date mean over the months of the same year.", ytd_mode="calendar")
+
+
+# --- table scope (the reference's windows down the whole sorted table) ----------------
+
+# Small buckets so that the halo and carry logic runs across many buckets even at
+# the check's scale; results do not depend on the bucket size.
+TABLE_SCOPE_PARAMS = FIXTURE_PARAMS.with_(scope="table", bucket_rows=1000)
+
+
+@register("table_scope_state", O.state_report_sql(table_scope=True))
+def q_table_scope_state(spark, sf_dir):
+    """WIN7 + D1 literal: the state report with windows crossing series."""
+    return state_report(regional_clean_df(spark, sf_dir), TABLE_SCOPE_PARAMS)
+
+
+@register("table_scope_national", O.national_report_sql(table_scope=True))
+def q_table_scope_national(spark, sf_dir):
+    """WIN7 + D1 literal: the national report with windows crossing series."""
+    return national_report(national_clean_df(spark, sf_dir), TABLE_SCOPE_PARAMS)

@@ -49,7 +49,7 @@ def growth_report(
     if params.scope == "table":
         from jobtrend.operators.table_scope import add_growth_table
 
-        grown = add_growth_table(sums, [*series, *TIME_KEYS], params)
+        grown = add_growth_table(sums, [*series, *TIME_KEYS], params, params.bucket_rows)
     else:
         grown = add_growth(sums, series, params)
     ranked = add_ranks(grown, [*series_tail, *TIME_KEYS], region_keys, rank_methods)
