@@ -92,15 +92,16 @@ def _carry(df: DataFrame, columns: Sequence[str], bucket_rows: int, halo: int) -
     aggs = []
     for c in columns:
         x = F.col(c)
-        aggs.append(F.max(F.when(x.isNotNull() & before_tail, F.struct(F.col(POS), x))).alias(f"_pre_{c}"))
-        aggs.append(F.max(F.when(x.isNotNull(), F.struct(F.col(POS), x))).alias(f"_full_{c}"))
+        # max_by skips rows whose ordering is NULL: the last non-NULL value by position
+        aggs.append(F.max_by(x, F.when(x.isNotNull() & before_tail, F.col(POS))).alias(f"_pre_{c}"))
+        aggs.append(F.max_by(x, F.when(x.isNotNull(), F.col(POS))).alias(f"_full_{c}"))
     per_bucket = df.groupBy(own.alias(BUCKET)).agg(*aggs)
     # one row per bucket (table rows / bucket rows)
     w = Window.orderBy(BUCKET)
     cols = []
     for c in columns:
-        pre_prev = F.lag(F.col(f"_pre_{c}").getField(c), 1).over(w)
-        full_older = F.last(F.col(f"_full_{c}").getField(c), ignorenulls=True).over(
+        pre_prev = F.lag(F.col(f"_pre_{c}"), 1).over(w)
+        full_older = F.last(F.col(f"_full_{c}"), ignorenulls=True).over(
             w.rowsBetween(Window.unboundedPreceding, -2)
         )
         cols.append(F.coalesce(pre_prev, full_older).alias(f"_carry_{c}"))

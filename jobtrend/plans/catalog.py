@@ -6,6 +6,7 @@ runs over all of their rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,7 +50,15 @@ from jobtrend.sources.fixture import (
     regional_raw,
     table,
 )
-from jobtrend.sources.tsv import NATIONAL_STRIPPED, append_frames, strip_columns
+from jobtrend.session import ensure_checkpoint_dir
+from jobtrend.sources.sinks import write_report
+from jobtrend.sources.tsv import (
+    NATIONAL_STRIPPED,
+    append_frames,
+    read_observations,
+    strip_columns,
+    write_observations,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -405,3 +414,48 @@ def q_table_scope_state(spark, sf_dir):
 def q_table_scope_national(spark, sf_dir):
     """WIN7 + D1 literal: the national report with windows crossing series."""
     return national_report(national_clean_df(spark, sf_dir), TABLE_SCOPE_PARAMS)
+
+
+# --- round trips through files in the shared folder ------------------------------------
+
+
+def shared_scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/jobtrend-roundtrip/{name}-{uuid.uuid4().hex}"
+
+
+_SM_ID_SQL = (
+    "rpad(concat_ws('_', 'SM', " + O.SEASONAL_SQL + ", cast(l_suppkey as varchar), "
+    "cast(l_partkey as varchar), l_returnflag), 30, ' ')"
+)
+
+
+@register(
+    "tsv_scan",
+    f"select {O.strip_sql(_SM_ID_SQL)} as series_id, {O.YEAR_SQL} as year, {O.PERIOD_SQL} as period, "
+    f"cast(l_quantity as varchar) as value, cast(null as varchar) as footnote_codes from lineitem",
+)
+def q_tsv_scan(spark, sf_dir):
+    """SRC1: observations written as a tab-separated file with padded fields,
+    read back with the given schema and the regional strip rule. An empty field
+    reads as NULL (missing), as a table reader reads it."""
+    path = shared_scratch(spark, "sm-observations")
+    write_observations(regional_observations(spark, sf_dir), path)
+    return read_observations(spark, path)
+
+
+_STATE_KEYS = "state_name, supersector_name, industry_name, year, Month"
+
+
+@register(
+    "write_report",
+    f"select *, row_number() over (order by {_STATE_KEYS}) - 1 as index from ({O.state_report_sql()}) r",
+)
+def q_write_report(spark, sf_dir):
+    """SNK1: the state report replaces a table (parquet here), written with its
+    table-order index like the reference's table writes, then read back."""
+    path = shared_scratch(spark, "state_rankings_t")
+    report = state_report(regional_clean_df(spark, sf_dir), FIXTURE_PARAMS)
+    write_report(report, path, fmt="parquet", with_index=_STATE_KEYS.split(", "))
+    return spark.read.parquet(path)

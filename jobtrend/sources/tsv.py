@@ -1,7 +1,8 @@
 """Observation files (SRC1, SRC2): tab-separated text with a header row.
 
 The schema is given, never inferred: every column arrives as text and is typed
-later by the cleaning step, so a stray ``-`` or blank never fails the scan.
+later by the cleaning step, so a stray ``-`` or blank never fails the scan. An
+empty field reads as NULL (missing).
 Several files are one scan (one DataFrame over all paths), which Spark splits
 across tasks; duplicate rows across files are kept (bag union, SET1).
 """
@@ -61,6 +62,12 @@ def append_frames(frames: Sequence[DataFrame]) -> DataFrame:
 def write_observations(df: DataFrame, path: str) -> None:
     """Write observations in the same tab-separated layout (used by tests and
     round trips)."""
-    df.select(*OBSERVATION_COLUMNS).write.mode("overwrite").option("sep", "\t").option(
-        "header", True
-    ).csv(path)
+    (
+        df.select(*OBSERVATION_COLUMNS)
+        .write.mode("overwrite")
+        .option("sep", "\t")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
