@@ -39,6 +39,9 @@ class ReportParams:
     tidy_names      also trim the space left by removing area-name suffixes.
     data_type_code  national slices: optional data type filter (the reference has none).
     bucket_rows     table scope only: rows per window bucket (each bucket is one task).
+    rank_strategy   "window": one window task per rank group; "split": range-split
+                    ranks (no group in one task); "auto": window for regions from a
+                    fixed list (states), split for areas, whose number grows with data.
     """
 
     ytd_months: int = REFERENCE_YTD_MONTHS
@@ -51,6 +54,7 @@ class ReportParams:
     tidy_names: bool = False
     data_type_code: str | None = None
     bucket_rows: int = 65536
+    rank_strategy: str = "auto"
 
     def with_(self, **changes) -> "ReportParams":
         return replace(self, **changes)
@@ -60,5 +64,7 @@ class ReportParams:
             raise ValueError(f"ytd_mode must be 'trailing' or 'calendar', got {self.ytd_mode!r}")
         if self.scope not in ("series", "table"):
             raise ValueError(f"scope must be 'series' or 'table', got {self.scope!r}")
+        if self.rank_strategy not in ("auto", "window", "split"):
+            raise ValueError(f"rank_strategy must be 'auto', 'window' or 'split', got {self.rank_strategy!r}")
         if self.ytd_months < 1:
             raise ValueError("ytd_months must be positive")

@@ -23,6 +23,7 @@ from jobtrend.operators.clean import (
     unadjusted,
 )
 from jobtrend.operators.growth import add_growth, add_ranks, measure_columns, round_measures
+from jobtrend.operators.rank import add_ranks_split
 from jobtrend.params import UNITED_STATES, ReportParams
 
 SERIES_TAIL = ("supersector_name", "industry_name")
@@ -41,10 +42,15 @@ def growth_report(
     params: ReportParams,
     rank_methods: dict,
     series_tail: Sequence[str] = SERIES_TAIL,
+    bounded_regions: bool = True,
 ) -> DataFrame:
     """Windows, ranks and rounding over combined sums keyed by
     ``region_keys + series_tail + (year, Month)``; ranks compare regions within
-    ``series_tail + (year, Month)``."""
+    ``series_tail + (year, Month)``.
+
+    ``bounded_regions``: the regions come from a fixed list (states), so a rank
+    group is small; otherwise (areas) "auto" ranks split groups across tasks.
+    """
     series = [*region_keys, *series_tail]
     if params.scope == "table":
         from jobtrend.operators.table_scope import add_growth_table
@@ -52,7 +58,15 @@ def growth_report(
         grown = add_growth_table(sums, [*series, *TIME_KEYS], params, params.bucket_rows)
     else:
         grown = add_growth(sums, series, params)
-    ranked = add_ranks(grown, [*series_tail, *TIME_KEYS], region_keys, rank_methods)
+    strategy = params.rank_strategy
+    if strategy == "auto":
+        strategy = "window" if bounded_regions else "split"
+    if strategy == "split" and any(m is not None for m in rank_methods.values()):
+        ranked = add_ranks_split(
+            grown, [*series, *TIME_KEYS], [*series_tail, *TIME_KEYS], region_keys, rank_methods
+        )
+    else:
+        ranked = add_ranks(grown, [*series_tail, *TIME_KEYS], region_keys, rank_methods)
     return round_measures(ranked).select(*series, *TIME_KEYS, *measure_columns())
 
 
@@ -105,4 +119,6 @@ def area_report(
 ) -> DataFrame:
     """RPT5-RPT7: area growth with ranks of the areas per industry and month."""
     methods = FIRST_RANKS if cohort == "all" else COHORT_RANKS
-    return growth_report(area_sums(regional_clean, params, cohort), ["area_name"], params, methods)
+    return growth_report(
+        area_sums(regional_clean, params, cohort), ["area_name"], params, methods, bounded_regions=False
+    )

@@ -27,6 +27,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints (table positions, split ranks) are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

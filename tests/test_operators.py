@@ -231,3 +231,27 @@ def test_params_validate():
         ReportParams(scope="everything")
     with pytest.raises(ValueError):
         ReportParams(ytd_mode="fiscal")
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_split_ranks_equal_window_ranks(spark, seed):
+    from jobtrend.operators.growth import add_ranks
+    from jobtrend.operators.rank import add_ranks_split
+
+    rnd = random.Random(seed)
+    rows = []
+    for g in range(3):
+        n = 300 if g == 0 else rnd.randint(1, 20)  # one hot group
+        for i in range(n):
+            vals = [None if rnd.random() < 0.2 else float(rnd.randint(-3, 3)) / 4 for _ in range(4)]
+            rows.append(("S", f"{g:02d}", f"r{i:04d}", *vals))
+    df = spark.createDataFrame(
+        rows, "ss string, Month string, region string, pct_change_mom double, pct_change_ytd double, "
+              "pct_change_ann double, pct_change double")
+    methods = {"_mom": "average"}
+    want = {(r.Month, r.region): tuple(r[f"rank{s}"] for s in ("_mom", "_ytd", "_ann", ""))
+            for r in add_ranks(df, ["ss", "Month"], ["region"], methods).collect()}
+    got = {(r.Month, r.region): tuple(r[f"rank{s}"] for s in ("_mom", "_ytd", "_ann", ""))
+           for r in add_ranks_split(df, ["ss", "Month", "region"], ["ss", "Month"], ["region"], methods,
+                                    partitions=7).collect()}
+    assert got == want
