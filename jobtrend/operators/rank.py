@@ -33,6 +33,35 @@ from jobtrend.operators.growth import FAMILIES
 from jobtrend.session import ensure_checkpoint_dir
 
 
+def largest_group(df: DataFrame, rank_keys: Sequence[str]) -> int:
+    """Rows in the largest rank group (one aggregate; a single number returns)."""
+    row = df.groupBy(*rank_keys).count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0)
+
+
+def add_ranks_checked(
+    df: DataFrame,
+    key_cols: Sequence[str],
+    rank_keys: Sequence[str],
+    tie_keys: Sequence[str],
+    methods: dict[str, str] | None = None,
+    max_window_group_rows: int = 500_000,
+) -> DataFrame:
+    """Window ranks when the largest rank group is within a proven bound,
+    range-split ranks otherwise.
+
+    The unranked report is checkpointed first (shared folder), so measuring the
+    groups and ranking both read it instead of recomputing it.
+    """
+    from jobtrend.operators.growth import add_ranks
+
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    if largest_group(df, rank_keys) <= max_window_group_rows:
+        return add_ranks(df, rank_keys, tie_keys, methods)
+    return add_ranks_split(df, key_cols, rank_keys, tie_keys, methods, materialized=True)
+
+
 def add_ranks_split(
     df: DataFrame,
     key_cols: Sequence[str],
@@ -40,8 +69,12 @@ def add_ranks_split(
     tie_keys: Sequence[str],
     methods: dict[str, str] | None = None,
     partitions: int | None = None,
+    materialized: bool = False,
 ) -> DataFrame:
-    """Same result as ``growth.add_ranks``; ``key_cols`` is the report's unique key."""
+    """Same result as ``growth.add_ranks``; ``key_cols`` is the report's unique key.
+
+    ``materialized``: ``df`` is already a checkpoint (no second one is taken).
+    """
     methods = methods or {}
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -50,9 +83,10 @@ def add_ranks_split(
         return df.select("*", *[F.lit(None).cast("double").alias(f"rank{s}") for s, _, _ in FAMILIES])
     key_cols, rank_keys, tie_keys = list(key_cols), list(rank_keys), list(tie_keys)
     group = ["_fam", *rank_keys]
-    # The report rows feed the range sampling, the ranked rows and the final join:
-    # materialize them once (shared folder, lineage cut) instead of three times.
-    df = df.checkpoint(eager=True)
+    if not materialized:
+        # The report rows feed the range sampling, the ranked rows and the final
+        # join: materialize them once (shared folder, lineage cut), not three times.
+        df = df.checkpoint(eager=True)
 
     entries = F.array(*[F.struct(F.lit(s).alias("_fam"), F.col(f"pct_change{s}").alias("_pct")) for s, _ in ranked_fams])
     stacked = (

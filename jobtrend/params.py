@@ -41,7 +41,10 @@ class ReportParams:
     bucket_rows     table scope only: rows per window bucket (each bucket is one task).
     rank_strategy   "window": one window task per rank group; "split": range-split
                     ranks (no group in one task); "auto": window for regions from a
-                    fixed list (states), split for areas, whose number grows with data.
+                    fixed list (states); for areas, whose number grows with the data,
+                    window only when the largest rank group measures at most
+                    ``max_window_group_rows`` rows, else split.
+    max_window_group_rows  bound of the "auto" check.
     """
 
     ytd_months: int = REFERENCE_YTD_MONTHS
@@ -55,6 +58,7 @@ class ReportParams:
     data_type_code: str | None = None
     bucket_rows: int = 65536
     rank_strategy: str = "auto"
+    max_window_group_rows: int = 500_000
 
     def with_(self, **changes) -> "ReportParams":
         return replace(self, **changes)

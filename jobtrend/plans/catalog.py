@@ -459,3 +459,20 @@ def q_write_report(spark, sf_dir):
     report = state_report(regional_clean_df(spark, sf_dir), FIXTURE_PARAMS)
     write_report(report, path, fmt="parquet", with_index=_STATE_KEYS.split(", "))
     return spark.read.parquet(path)
+
+
+# --- range-split ranks (what "auto" picks for areas once a rank group is large) --------
+
+SPLIT_RANK_PARAMS = FIXTURE_PARAMS.with_(rank_strategy="split")
+
+
+@register("area_report_split_ranks", O.area_report_sql("all"))
+def q_area_report_split_ranks(spark, sf_dir):
+    """WIN8 at scale: area ranks computed with range-split groups."""
+    return area_report(regional_clean_df(spark, sf_dir), SPLIT_RANK_PARAMS, cohort="all")
+
+
+@register("area_over_report_split_ranks", O.area_report_sql("over"))
+def q_area_over_report_split_ranks(spark, sf_dir):
+    """WIN9 at scale: averaged tie ranks with range-split groups."""
+    return area_report(regional_clean_df(spark, sf_dir), SPLIT_RANK_PARAMS, cohort="over")

@@ -23,7 +23,7 @@ from jobtrend.operators.clean import (
     unadjusted,
 )
 from jobtrend.operators.growth import add_growth, add_ranks, measure_columns, round_measures
-from jobtrend.operators.rank import add_ranks_split
+from jobtrend.operators.rank import add_ranks_checked, add_ranks_split
 from jobtrend.params import UNITED_STATES, ReportParams
 
 SERIES_TAIL = ("supersector_name", "industry_name")
@@ -60,13 +60,18 @@ def growth_report(
         grown = add_growth(sums, series, params)
     strategy = params.rank_strategy
     if strategy == "auto":
-        strategy = "window" if bounded_regions else "split"
-    if strategy == "split" and any(m is not None for m in rank_methods.values()):
-        ranked = add_ranks_split(
-            grown, [*series, *TIME_KEYS], [*series_tail, *TIME_KEYS], region_keys, rank_methods
+        strategy = "window" if bounded_regions else "checked"
+    if not any(m is not None for m in rank_methods.values()):
+        strategy = "window"
+    keys, rank_keys = [*series, *TIME_KEYS], [*series_tail, *TIME_KEYS]
+    if strategy == "split":
+        ranked = add_ranks_split(grown, keys, rank_keys, region_keys, rank_methods)
+    elif strategy == "checked":
+        ranked = add_ranks_checked(
+            grown, keys, rank_keys, region_keys, rank_methods, params.max_window_group_rows
         )
     else:
-        ranked = add_ranks(grown, [*series_tail, *TIME_KEYS], region_keys, rank_methods)
+        ranked = add_ranks(grown, rank_keys, region_keys, rank_methods)
     return round_measures(ranked).select(*series, *TIME_KEYS, *measure_columns())
 
 

@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # small shuffle outputs (aggregated reports) still keep several tasks for
+    # their CPU-heavy window stages; large outputs are unaffected
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(128 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
     "spark.sql.session.timeZone": "UTC",

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtrend.params import ReportParams
+from jobtrend.sources.scan import read_fact
 
 # Fixed stand-ins of the fixture (FIXTURES.md section 2).
 FIXTURE_EXCLUDED_STATES = ("NATION_22", "NATION_23", "NATION_24")
@@ -48,11 +49,18 @@ TABLE_SCHEMAS = {
 }
 
 
+# The fact table of the fixture; the others are dimensions.
+FACT_TABLES = ("lineitem",)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in FACT_TABLES:
+        return read_fact(spark, path, TABLE_SCHEMAS.get(name))
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return reader.parquet(path)
 
 
 def area_name_expr(suppkey: Column, supplier_name: Column) -> Column:

@@ -255,3 +255,17 @@ def test_split_ranks_equal_window_ranks(spark, seed):
            for r in add_ranks_split(df, ["ss", "Month", "region"], ["ss", "Month"], ["region"], methods,
                                     partitions=7).collect()}
     assert got == want
+
+
+def test_checked_ranks_pick_split_beyond_the_bound(spark):
+    from jobtrend.operators.growth import add_ranks
+    from jobtrend.operators.rank import add_ranks_checked
+
+    rows = [("S", "01", f"r{i:03d}", float(i % 7), float(i % 5), float(i % 3), float(i % 11)) for i in range(60)]
+    df = spark.createDataFrame(
+        rows, "ss string, Month string, region string, pct_change_mom double, pct_change_ytd double, "
+              "pct_change_ann double, pct_change double")
+    want = sorted(tuple(r) for r in add_ranks(df, ["ss", "Month"], ["region"], {"_mom": "average"}).collect())
+    for bound in (10, 1000):  # 60 rows in the group: split first, window second
+        got = add_ranks_checked(df, ["ss", "Month", "region"], ["ss", "Month"], ["region"], {"_mom": "average"}, bound)
+        assert sorted(tuple(r) for r in got.select(*df.columns, "rank_mom", "rank_ytd", "rank_ann", "rank").collect()) == want
