@@ -13,6 +13,7 @@ import pandas as pd
 
 
 def change(x: pd.Series, k: int) -> pd.Series:
+    x = x.astype(float)
     base = x.ffill().shift(k)
     out = x / base - 1
     out = out.where(x.notna())
@@ -22,6 +23,8 @@ def change(x: pd.Series, k: int) -> pd.Series:
 def growth_frame(df: pd.DataFrame, ytd_months: int = 5) -> pd.DataFrame:
     """All families over one ordered frame (one series, or a whole table)."""
     out = df.copy()
+    out["value"] = out["value"].astype(float)
+    out["value_mom"] = out["value_mom"].astype(float)
     out["value_ytd_avg"] = out["value"].rolling(ytd_months).mean()
     out["value_ann_avg"] = out["value"].rolling(12).mean()
     for suffix, src, k in (("_mom", "value_mom", 1), ("_ytd", "value_ytd_avg", 12),
