@@ -53,3 +53,12 @@ def latest_month(monthly: DataFrame) -> DataFrame:
     return latest.select(
         F.col("_m.year").alias("year"), F.col("_m.Month").try_cast("int").alias("month")
     )
+
+
+def reporting_month(monthly: DataFrame) -> int:
+    """SRC5 as a parameter: the last month of the latest year, for
+    ``ReportParams(ytd_months=...)``. One aggregate; a single number returns."""
+    row = latest_month(monthly).first()
+    if row is None or row["month"] is None:
+        raise ValueError("no monthly rows to take the reporting month from")
+    return int(row["month"])

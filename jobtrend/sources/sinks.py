@@ -41,6 +41,7 @@ def write_report(
     options: dict[str, str] | None = None,
     partition_by: Sequence[str] | None = None,
     with_index: Sequence[str] | None = None,
+    sort_by: Sequence[str] | None = None,
 ) -> None:
     """SNK1 / SNK2: replace ``target`` with the report.
 
@@ -48,10 +49,13 @@ def write_report(
     table. fmt="csv": header row, values as text; NULL ranks are written as empty
     fields, as the reference wrote its national ranks (SNK3, D9).
     ``with_index`` gives the table order to add a position column, like a pandas
-    table written with its index.
+    table written with its index. ``sort_by`` (ORD1) writes the rows in that order:
+    a global sort, which Spark runs as a range-partitioned, distributed sort.
     """
     if with_index:
         df = with_table_index(df, with_index)
+    if sort_by:
+        df = df.orderBy(*sort_by)
     opts = dict(options or {})
     if fmt == "jdbc":
         opts.setdefault("dbtable", target)

@@ -130,3 +130,32 @@ def test_write_report_parquet_with_index_and_csv(spark, scratch):
     text = "".join(open(os.path.join(csv_out, f)).read() for f in sorted(os.listdir(csv_out)) if f.endswith(".csv"))
     assert "state_name,year,value,rank" in text
     assert "b,2015,2.0," in text  # NULL rank written as an empty field
+
+
+def test_write_report_sorted_output(spark, scratch):
+    df = spark.createDataFrame([("b", 2), ("a", 1), ("c", 3)], "k string, v int").repartition(3)
+    out = os.path.join(scratch, "sorted_csv")
+    write_report(df, out, fmt="csv", sort_by=["k"])
+    parts = sorted(f for f in os.listdir(out) if f.endswith(".csv"))
+    keys = []
+    for f in parts:
+        keys += [line.split(",")[0] for line in open(os.path.join(out, f)).read().splitlines()[1:]]
+    assert keys == ["a", "b", "c"]
+
+
+def test_reporting_month(spark):
+    from jobtrend.params import ReportParams
+    from jobtrend.sources.codes import reporting_month
+
+    df = spark.createDataFrame([("2014", "12"), ("2015", "03"), ("2015", "05")], "year string, Month string")
+    assert ReportParams(ytd_months=reporting_month(df)).ytd_months == 5
+
+
+def test_spread_only_when_undersplit(spark):
+    from jobtrend.sources.scan import spread_if_undersplit
+
+    cores = spark.sparkContext.defaultParallelism
+    small = spark.range(10).coalesce(1)
+    assert spread_if_undersplit(small).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread_if_undersplit(wide).rdd.getNumPartitions() == cores * 2
