@@ -1,10 +1,8 @@
-"""Reading fact tables with enough parallelism.
+"""Reading fact tables.
 
-A fact table that arrives in fewer input splits than the cluster has cores (a
-small table written as one row group, say) would put the whole scan, join and
-partial-aggregation stage in one task. Such an input is spread round-robin over
-the cores. An input with at least that many splits (any large table) is left
-as it is, so no raw-row shuffle is added at scale.
+A given schema skips the footer-inference job an untyped read starts. Splits
+come from the files (row groups); no repartition is added after the scan, so
+the raw rows are never shuffled before the partial aggregation reduces them.
 """
 
 from __future__ import annotations
@@ -12,21 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread_if_undersplit(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the default parallelism when it has fewer splits.
-
-    Only an input with fewer splits than cores is moved, so the shuffle is bounded
-    by ``cores x split size``.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def read_fact(spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Read a fact table (given schema: no inference job), spread if under-split."""
+    """Read a fact table with a given schema (no inference job)."""
     reader = spark.read.format(fmt)
     if schema:
         reader = reader.schema(schema)
-    return spread_if_undersplit(reader.load(path))
+    return reader.load(path)

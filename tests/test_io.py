@@ -149,13 +149,3 @@ def test_reporting_month(spark):
 
     df = spark.createDataFrame([("2014", "12"), ("2015", "03"), ("2015", "05")], "year string, Month string")
     assert ReportParams(ytd_months=reporting_month(df)).ytd_months == 5
-
-
-def test_spread_only_when_undersplit(spark):
-    from jobtrend.sources.scan import spread_if_undersplit
-
-    cores = spark.sparkContext.defaultParallelism
-    small = spark.range(10).coalesce(1)
-    assert spread_if_undersplit(small).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread_if_undersplit(wide).rdd.getNumPartitions() == cores * 2
