@@ -49,3 +49,24 @@ def test_table_scope_property(spark, all_series, bucket):
     got = got.sort_values(order).reset_index(drop=True)
     for c in MEASURES:
         assert all(rows_equal(a, b, 1e-9) for a, b in zip(got[c], want[c])), c
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.integers(min_value=1, max_value=900).map(float), min_size=25, max_size=45),
+                min_size=2, max_size=4),
+       st.integers(min_value=24, max_value=80))
+def test_table_scope_equals_series_scope_deep_in_full_series(spark, lengths_values, bucket):
+    """Without NULLs or gaps, a row 24 or more rows into its series only reads its
+    own series, so both scopes agree there."""
+    all_series = [[(v, v + 1.0) for v in vals] for vals in lengths_values]
+    rows = to_rows(all_series)
+    df = spark.createDataFrame(rows, SUMS_SCHEMA)
+    key = ["region", "series", "year", "Month"]
+    series_pd = add_growth(df, ["region", "series"], ReportParams()).toPandas().sort_values(key)
+    table_pd = add_growth_table(df, key, ReportParams(scope="table"), bucket_rows=bucket).toPandas().sort_values(key)
+    series_pd["depth"] = series_pd.groupby(["region", "series"]).cumcount()
+    deep = series_pd["depth"].to_numpy() >= 24
+    for c in MEASURES:
+        a = series_pd[c].to_numpy()[deep]
+        b = table_pd[c].to_numpy()[deep]
+        assert all(rows_equal(x, y, 1e-9) for x, y in zip(a, b)), c
