@@ -149,3 +149,43 @@ def test_reporting_month(spark):
 
     df = spark.createDataFrame([("2014", "12"), ("2015", "03"), ("2015", "05")], "year string, Month string")
     assert ReportParams(ytd_months=reporting_month(df)).ytd_months == 5
+
+
+def test_run_job_end_to_end(spark, scratch):
+    from jobtrend.plans.job import run_job
+
+    sm = os.path.join(scratch, "sm.data.1.AllData.txt")
+    lines = []
+    for y in (2014, 2015):
+        for m in range(1, 13):
+            lines.append(f"SMU01   \t{y}\tM{m:02d}\t {100 + m + (y - 2014) * 12}\t\n")
+            lines.append(f"SMS01   \t{y}\tM{m:02d}\t {90 + m}\t\n")
+    lines.append("SMU01   \t2015\tM13\t 999\t\n")  # annual average row: left out
+    write_text(sm, HEADER + "".join(lines))
+    paths = _write_regional_codes(spark, scratch)
+    ce = os.path.join(scratch, "ce.data.07.txt")
+    write_text(ce, HEADER + "".join(f"CEU1\t2015\tM{m:02d}\t{m}\t\n" for m in range(1, 13))
+               + "".join(f"CES1\t2015\tM{m:02d}\t{m}\t\n" for m in range(1, 13)))
+    codes = {
+        "ce_series": spark.createDataFrame([("CEU1", 10, 5, "01", "U"), ("CES1", 10, 5, "01", "S")],
+                                           "series_id string, industry_code int, supersector_code int, "
+                                           "data_type_code string, seasonal string"),
+        "ce_industry": spark.createDataFrame([("10", "Mining")], "industry_code string, industry_name string"),
+        "ce_supersector": spark.createDataFrame([("5", "Mining")], "supersector_code string, supersector_name string"),
+    }
+    for name, df in codes.items():
+        paths[name] = os.path.join(scratch, "codes", name)
+        df.write.mode("overwrite").parquet(paths[name])
+    out = os.path.join(scratch, "reports")
+    written = run_job(spark, sm, [ce], out, "parquet", paths, areas=True)
+    assert set(written) == {"national_rankings_t", "state_rankings_t", "msa_rankings_t",
+                            "msa_rankings_over", "msa_rankings_under"}
+    state = spark.read.parquet(written["state_rankings_t"]).orderBy("year", "Month").collect()
+    assert len(state) == 24
+    last = state[-1]
+    # 12-month change of the unadjusted value: December 2015 (124) over December 2014 (112)
+    assert last.pct_change == round((124.0 / 112.0 - 1) * 100, 2)
+    assert last.job_growth == 12.0
+    assert last["rank"] == 1.0
+    national = spark.read.parquet(written["national_rankings_t"]).collect()
+    assert len(national) == 12 and {r.state_name for r in national} == {"United States"}
