@@ -65,7 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names this folder (shared storage, survives executor loss). Only
-    when it is unset, as in local tests, a fresh folder is made and registered.
+    when it is unset and the master is local (tests, a laptop) a fresh folder is
+    made and registered; on a cluster an unset folder is an error, since a
+    machine-local folder would not be visible to the other executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +77,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder: table-scope windows and "
+                "split ranks checkpoint there"
+            )
         configured = fallback or tempfile.mkdtemp(prefix="jobtrend-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
