@@ -182,33 +182,40 @@ def national_observations(spark: SparkSession, sf_dir: str, lineitem: DataFrame
     return observations(spark, sf_dir, national_series_id(), lineitem)
 
 
+def _series_keys(li: DataFrame, *cols: str) -> DataFrame:
+    """Distinct series keys, taken on the raw (short) columns; text codes are built
+    afterwards, once per series instead of once per line."""
+    return li.select(seasonal_expr().alias("seasonal"), *cols).distinct()
+
+
 def regional_code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """sm_series, sm_industry, sm_supersector, sm_state, sm_area."""
     li = table(spark, sf_dir, "lineitem")
     sup = table(spark, sf_dir, "supplier")
-    series = (
-        li.join(sup.select("s_suppkey", "s_nationkey"), li.l_suppkey == sup.s_suppkey)
-        .select(
-            regional_series_id().alias("series_id"),
-            F.col("s_nationkey").cast("string").alias("state_code"),
-            F.col("l_suppkey").cast("string").alias("area_code"),
-            F.col("l_partkey").cast("string").alias("industry_code"),
-            supersector_code().alias("supersector_code"),
-            F.lit("1").alias("data_type_code"),
-            seasonal_expr().alias("seasonal"),
-        )
-        .distinct()
+    keys = _series_keys(li, "l_suppkey", "l_partkey", "l_returnflag")
+    series = keys.join(sup.select("s_suppkey", "s_nationkey"), keys.l_suppkey == sup.s_suppkey).select(
+        F.concat_ws(
+            "_", F.lit("SM"), F.col("seasonal"), F.col("l_suppkey").cast("string"),
+            F.col("l_partkey").cast("string"), F.col("l_returnflag"),
+        ).alias("series_id"),
+        F.col("s_nationkey").cast("string").alias("state_code"),
+        F.col("l_suppkey").cast("string").alias("area_code"),
+        F.col("l_partkey").cast("string").alias("industry_code"),
+        supersector_code().alias("supersector_code"),
+        F.lit("1").alias("data_type_code"),
+        F.col("seasonal"),
     )
+    flags = li.select("l_returnflag").distinct()
     return {
         "sm_series": series,
         "sm_industry": table(spark, sf_dir, "part").select(
             F.col("p_partkey").cast("string").alias("industry_code"),
             F.col("p_brand").alias("industry_name"),
         ),
-        "sm_supersector": li.select(
+        "sm_supersector": flags.select(
             supersector_code().alias("supersector_code"),
             F.concat(F.col("l_returnflag"), F.lit("\r")).alias("supersector_name"),
-        ).distinct(),
+        ),
         "sm_state": table(spark, sf_dir, "nation").select(
             F.col("n_nationkey").cast("string").alias("state_code"),
             F.concat(F.col("n_name"), F.lit("\r")).alias("state_name"),
@@ -223,21 +230,24 @@ def regional_code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
 def national_code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """ce_series, ce_industry, ce_supersector."""
     li = table(spark, sf_dir, "lineitem")
-    series = li.select(
-        F.concat(F.lit("  "), national_series_id()).alias("series_id"),
+    series = _series_keys(li, "l_partkey", "l_returnflag").select(
+        F.concat(
+            F.lit("  "),
+            F.concat_ws("_", F.lit("CE"), F.col("seasonal"), F.col("l_partkey").cast("string"), F.col("l_returnflag")),
+        ).alias("series_id"),
         F.col("l_partkey").cast("string").alias("industry_code"),
         supersector_code().alias("supersector_code"),
         F.lit("01").alias("data_type_code"),
-        seasonal_expr().alias("seasonal"),
-    ).distinct()
+        F.col("seasonal"),
+    )
     return {
         "ce_series": series,
         "ce_industry": table(spark, sf_dir, "part").select(
             F.col("p_partkey").cast("string").alias("industry_code"),
             F.col("p_brand").alias("industry_name"),
         ),
-        "ce_supersector": li.select(
+        "ce_supersector": li.select("l_returnflag").distinct().select(
             supersector_code().alias("supersector_code"),
             F.col("l_returnflag").alias("supersector_name"),
-        ).distinct(),
+        ),
     }
