@@ -91,3 +91,15 @@ def test_table_scope_plan_has_no_single_task_window_over_rows(spark):
     assert singles
     for i in singles:
         assert "HashAggregate" in lines[i + 1], lines[i : i + 2]
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_plan_hygiene(spark, name):
+    """No Python UDF anywhere; a single-partition exchange only ever reads an
+    aggregate (per-partition counts, per-bucket summaries, global maxima)."""
+    df = entry.queries()[name](spark, SF_SMALL)
+    lines = _plan(df).splitlines()
+    assert not any("PythonUDF" in line or "BatchEvalPython" in line or "ArrowEvalPython" in line for line in lines)
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "Aggregate" in lines[i + 1], (name, lines[i : i + 2])
