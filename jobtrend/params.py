@@ -72,3 +72,5 @@ class ReportParams:
             raise ValueError(f"rank_strategy must be 'auto', 'window' or 'split', got {self.rank_strategy!r}")
         if self.ytd_months < 1:
             raise ValueError("ytd_months must be positive")
+        if self.bucket_rows < 1 or self.max_window_group_rows < 1:
+            raise ValueError("bucket_rows and max_window_group_rows must be positive")

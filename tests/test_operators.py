@@ -231,6 +231,12 @@ def test_params_validate():
         ReportParams(scope="everything")
     with pytest.raises(ValueError):
         ReportParams(ytd_mode="fiscal")
+    with pytest.raises(ValueError):
+        ReportParams(rank_strategy="sometimes")
+    with pytest.raises(ValueError):
+        ReportParams(bucket_rows=0)
+    with pytest.raises(ValueError):
+        add_growth_table(None, [], ReportParams(scope="table", calendar=True))
 
 
 @pytest.mark.parametrize("seed", [21, 22])
