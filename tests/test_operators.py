@@ -275,3 +275,18 @@ def test_checked_ranks_pick_split_beyond_the_bound(spark):
     for bound in (10, 1000):  # 60 rows in the group: split first, window second
         got = add_ranks_checked(df, ["ss", "Month", "region"], ["ss", "Month"], ["region"], {"_mom": "average"}, bound)
         assert sorted(tuple(r) for r in got.select(*df.columns, "rank_mom", "rank_ytd", "rank_ann", "rank").collect()) == want
+
+
+def test_state_report_checked_ranks_equal_window_ranks(spark):
+    from jobtrend.plans.catalog import regional_clean_df
+    from jobtrend.plans.reports import state_report
+    from jobtrend.sources.fixture import FIXTURE_PARAMS
+
+    from tests.conftest import SF_SMALL
+
+    clean = regional_clean_df(spark, SF_SMALL)
+    window = state_report(clean, FIXTURE_PARAMS)
+    for strategy, bound in (("checked", 1), ("checked", 10**6), ("split", 10**6)):
+        other = state_report(clean, FIXTURE_PARAMS.with_(rank_strategy=strategy, max_window_group_rows=bound))
+        assert window.exceptAll(other.select(*window.columns)).count() == 0
+        assert other.count() == window.count()
