@@ -1,9 +1,12 @@
 """The growth reports (RPT3-RPT7): national, state and area, with size cohorts.
 
-Each report is one lazy plan: slice -> fused seasonal sums (one shuffle on the
-group keys, partial aggregation first) -> growth windows (one shuffle on the
-series key) -> ranks (one shuffle on the rank key) -> rounding. Nothing is
-collected; the caller writes or displays the result.
+Each report is one plan: slice -> fused seasonal sums (one shuffle on the group
+keys, partial aggregation first) -> growth windows (one shuffle on the series
+key) -> ranks (one shuffle on the rank key) -> rounding. The state and national
+reports stay fully lazy. Area reports first checkpoint the unranked report and
+measure the largest rank group (one number returns), then rank by window or by
+range-split groups. Nothing else is collected; the caller writes or displays
+the result.
 """
 
 from __future__ import annotations
