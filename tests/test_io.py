@@ -189,3 +189,33 @@ def test_run_job_end_to_end(spark, scratch):
     assert last["rank"] == 1.0
     national = spark.read.parquet(written["national_rankings_t"]).collect()
     assert len(national) == 12 and {r.state_name for r in national} == {"United States"}
+
+
+def test_checkpoint_folder_required_on_a_cluster():
+    """Without spark.checkpoint.dir a cluster session is refused a local folder."""
+    import pytest
+
+    from jobtrend.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+        def setCheckpointDir(self, path):
+            raise AssertionError("must not set a local folder on a cluster")
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
