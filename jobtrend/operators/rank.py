@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtrend.operators.growth import FAMILIES
-from jobtrend.session import ensure_checkpoint_dir
+from jobtrend.session import checkpointed, ensure_checkpoint_dir
 
 
 def largest_group(df: DataFrame, rank_keys: Sequence[str]) -> int:
@@ -55,8 +55,7 @@ def add_ranks_checked(
     """
     from jobtrend.operators.growth import add_ranks
 
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    df = checkpointed(df)
     if largest_group(df, rank_keys) <= max_window_group_rows:
         return add_ranks(df, rank_keys, tie_keys, methods)
     return add_ranks_split(df, key_cols, rank_keys, tie_keys, methods, materialized=True)
@@ -86,7 +85,7 @@ def add_ranks_split(
     if not materialized:
         # The report rows feed the range sampling, the ranked rows and the final
         # join: materialize them once (shared folder, lineage cut), not three times.
-        df = df.checkpoint(eager=True)
+        df = checkpointed(df)
 
     entries = F.array(*[F.struct(F.lit(s).alias("_fam"), F.col(f"pct_change{s}").alias("_pct")) for s, _ in ranked_fams])
     stacked = (
@@ -97,13 +96,11 @@ def add_ranks_split(
 
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [*[F.col(g) for g in group], F.col("_pct").desc(), *[F.col(t).asc() for t in tie_keys]]
-    tagged = (
+    tagged = checkpointed(
         stacked.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
-        .checkpoint(eager=True)
-        .withColumn("_li", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    )
+    ).withColumn("_li", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
     per_part = tagged.groupBy("_pid", *group).agg(
         F.min("_li").alias("_first"), F.count(F.lit(1)).alias("_n")
     )

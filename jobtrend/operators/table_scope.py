@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from jobtrend.functions import ratio_change
 from jobtrend.operators.growth import FAMILIES
 from jobtrend.params import ANNUAL_MONTHS, ReportParams
-from jobtrend.session import ensure_checkpoint_dir
+from jobtrend.session import checkpointed, ensure_checkpoint_dir
 
 DEFAULT_BUCKET_ROWS = 65536
 POS = "_pos"
@@ -51,11 +51,13 @@ def with_position(
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    tagged = ranged.select(
-        "*",
-        F.spark_partition_id().alias("_pid"),
-        F.monotonically_increasing_id().alias("_mid"),
-    ).checkpoint(eager=True)
+    tagged = checkpointed(
+        ranged.select(
+            "*",
+            F.spark_partition_id().alias("_pid"),
+            F.monotonically_increasing_id().alias("_mid"),
+        )
+    )
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -10,7 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Broadcast joins are chosen by the planner only below this size (bytes), from
 # file statistics at planning time and from measured shuffle sizes under AQE.
@@ -85,3 +86,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         configured = fallback or tempfile.mkdtemp(prefix="jobtrend-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` in the shared folder, computing it once.
+
+    Writing a checkpoint runs the plan again unless it is cached, so the rows are
+    persisted for the two jobs (compute, write) and released once the files exist.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
