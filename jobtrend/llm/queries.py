@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtrend.llm import decontaminate, packing, token_store, url_rules
+from jobtrend.llm import decontaminate, packing, pii, token_store, url_rules
 from jobtrend.llm.common import table
 from jobtrend.llm.sql import OP5_SQL, OP10_SQL
 
@@ -26,6 +26,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    n = lambda kind: F.size(F.filter("found.base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("row.doc_id", *map(n, pii.KINDS), F.sha2(pii.joined(F.col("found.base")), 256).alias("base_sha256"), pii.joined(F.col("found.all")).alias("spans"))
+
+
 def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -38,6 +44,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_token_store": op4_token_store,
     "op5_decontamination": op5_decontamination,
+    "op8_pii": op8_pii,
     "op9_best_two_fit": op9_best_two_fit,
     "op10_url_rules": op10_url_rules,
 }
