@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtrend.llm import decontaminate, packing, pii, token_store, url_rules
+from jobtrend.llm import decontaminate, packing, pii, token_store, toxicity, url_rules
 from jobtrend.llm.common import table
 from jobtrend.llm.sql import OP5_SQL, OP10_SQL
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id"]).select("row.doc_id", "found.*")
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_and_read(table(spark, sf_dir, "documents"))
 
@@ -42,6 +48,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op4_token_store": op4_token_store,
     "op5_decontamination": op5_decontamination,
     "op8_pii": op8_pii,
