@@ -53,32 +53,40 @@ def in_blocks(members: DataFrame, group: str, node: str, size: int) -> DataFrame
     return placed.withColumn("_other", others).select(*members.columns, "own", F.least("own", "_other").alias("i"), F.greatest("own", "_other").alias("j"))
 
 
-def map_groups(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``work`` on the rows of each different ``keys``; groups must fit into memory (see in_blocks)."""
+def map_whole_groups(df: DataFrame, keys: list[str], work: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``work`` on tables of whole groups: rows in order of ``keys``, and where each group begins.
+
+    A table holds an Arrow batch of rows and the rest of its last group, so groups must have a bounded
+    size (see in_blocks).
+    """
     dealt = df.repartition(*keys).sortWithinPartitions(*keys)
 
+    def begins(rows: pa.Table | pa.RecordBatch) -> np.ndarray:
+        change = np.zeros(rows.num_rows, bool)
+        change[:1] = True
+        for k in keys:
+            x = rows.column(k).to_numpy(zero_copy_only=False) if isinstance(rows, pa.RecordBatch) else rows.column(k).to_numpy()
+            change[1:] |= x[1:] != x[:-1]
+        return np.flatnonzero(change)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            change = np.zeros(batch.num_rows, bool)
-            for k in keys:
-                x = batch.column(k).to_numpy(zero_copy_only=False)
-                change[1:] |= x[1:] != x[:-1]
-                if waiting:
-                    change[0] |= x[0] != waiting[-1].column(k)[-1].as_py()
-            cuts = np.flatnonzero(change)
-            at = 0
-            for cut in cuts:
-                if cut > at:
-                    waiting.append(batch.slice(at, cut - at))
-                if waiting and (out := work(pa.Table.from_batches(waiting))) is not None:
-                    yield out
-                waiting, at = [], cut
-            waiting.append(batch.slice(at))
-        if waiting and (out := work(pa.Table.from_batches(waiting))) is not None:
-            yield out
+            last = int(begins(batch)[-1])
+            if last:  # all but the batch's last group are whole now
+                whole = pa.Table.from_batches([*waiting, batch.slice(0, last)])
+                yield from work(whole, begins(whole))
+                waiting = []
+            elif waiting and any(batch.column(k)[0] != waiting[-1].column(k)[-1] for k in keys):
+                whole = pa.Table.from_batches(waiting)
+                yield from work(whole, begins(whole))
+                waiting = []
+            waiting.append(batch.slice(last))
+        if waiting:
+            whole = pa.Table.from_batches(waiting)
+            yield from work(whole, begins(whole))
 
     return dealt.mapInArrow(task, schema)
 

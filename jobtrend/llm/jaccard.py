@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtrend.llm.common import Words, mix64, row_identity, written
-from jobtrend.llm.graph import components, in_blocks, map_groups, roots
+from jobtrend.llm.graph import components, in_blocks, map_whole_groups, roots
 
 SHINGLE = 5
 #: Similarity of a link, as a fraction, so that comparisons are exact.
@@ -145,6 +145,12 @@ def _verify(group: pa.Table) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(node), pa.array((linked @ copies).astype(np.int64)), pa.array(root)], names=["node", "links", "root"])
 
 
+def _verified(rows: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for a, b in zip(begins, [*begins[1:], rows.num_rows]):
+        if (out := _verify(rows.slice(a, b - a))) is not None:
+            yield out
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, identity (of the row), class_id, n_links and stays (one identity a class), a row for each row."""
     rows = written(_signed(docs, doc_id, text, matched_depth()), "signatures")
@@ -157,7 +163,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     members = groups.join(classes.select("node", "first.identity", "copies"), "node")
     members = written(in_blocks(members, "component", "node", BLOCK), "members")
     texts = docs.select(row_identity(doc_id, text).alias("identity"), F.col(text).cast("string").alias("text"))
-    compared = written(map_groups(members.join(texts, "identity").drop("identity"), ["component", "i", "j"], _verify, "node long, links long, root long"), "links")
+    compared = written(map_whole_groups(members.join(texts, "identity").drop("identity"), ["component", "i", "j"], _verified, "node long, links long, root long"), "links")
     linked = compared.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
     # classes of one block have their final root; those of several are tied by the roots of each pair
     whole = components(compared.select(F.col("node").alias("u"), F.col("root").alias("v"))).withColumnRenamed("component", "final")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtrend.llm import decontaminate, html_text, jaccard, packing, pii, token_store, toxicity, url_rules
+from jobtrend.llm import decontaminate, html_text, jaccard, packing, pii, token_store, toxicity, url_rules, vectors
 from jobtrend.llm.common import table
 from jobtrend.llm.sql import OP5_SQL, OP10_SQL
 
@@ -36,6 +36,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_token_store": op4_token_store,
     "op5_decontamination": op5_decontamination,
+    "op6_rotation_codes": op6_rotation_codes,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_pii": op8_pii,
     "op9_best_two_fit": op9_best_two_fit,
