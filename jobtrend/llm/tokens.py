@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
+import os
 import re
+from itertools import chain
 
 import numpy as np
 
 from jobtrend.llm.common import process_cache
 
 END_OF_TEXT = 2
-#: Segments that a worker remembers; beyond it the cache starts anew.
+#: Segments that a worker remembers (about 200 bytes each); the first ones stay, later ones are
+#: encoded again in each call.
 CACHE_SEGMENTS = 1_000_000
 #: Where a space may not be cut: beside other white space, where it can be part of a longer run.
-_UNCUT = re.compile(r" (?=\s)|(?<=\s) ")
+_UNCUT = re.compile(r" \s|\s ")
+
+
+class _Numbers(dict):
+    """Numbers segments as they are looked up. Beyond CACHE_SEGMENTS numbers last for one call."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+        self.passing: dict[str, int] = {}
+
+    def __missing__(self, segment: str) -> int:
+        if len(self) < CACHE_SEGMENTS:
+            at = self[segment] = len(self)
+        else:
+            at = self.passing.get(segment)
+            if at is not None:
+                return at
+            at = self.passing[segment] = len(self) + len(self.passing)
+        self.fresh.append(segment)
+        return at
 
 
 class SegmentEncoder:
@@ -20,32 +43,30 @@ class SegmentEncoder:
 
     A byte-level BPE with GPT-2's word pattern never joins characters across a
     single space between two other characters, except that the space belongs to
-    what follows. So a text is cut before such spaces and each different segment is
+    what follows. So a text is cut at such spaces and each different segment is
     encoded once. Texts with longer white space beside a space, or with the text of
     a special token, are encoded whole.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker a core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.ids = np.empty(1 << 16, np.int32)
-        self.used = 0
         self.begin: np.ndarray = np.empty(1 << 16, np.int64)
         self.size: np.ndarray = np.empty(1 << 16, np.int32)
-        self.n = 0
+        self.used = self.n = 0
 
     def _learn(self, segments: list[str]) -> None:
         for i in range(0, len(segments), 20_000):
-            part = segments[i : i + 20_000]
+            # a first segment is marked by a space, all others have one before them in the text
+            part = [x[1:] if x[:1] == " " else " " + x for x in segments[i : i + 20_000]]
             found = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int32, len(found))
-            flat = np.fromiter((y for x in found for y in x), np.int32, int(sizes.sum()))
+            flat = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
             while self.used + len(flat) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
             while self.n + len(part) > len(self.size):
@@ -58,28 +79,21 @@ class SegmentEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as int32."""
-        if len(self.known) > CACHE_SEGMENTS:
-            self.clear()
-        cut: list[np.ndarray | None] = []
-        fresh: list[str] = []
         known = self.known
-
-        def number(segment: str) -> int:
-            at = known.get(segment)
-            if at is None:
-                at = known[segment] = len(known)
-                fresh.append(segment)
-            return at
-
+        number = known.__getitem__
+        cut: list[np.ndarray | None] = []
         for text in texts:
-            if not text:
-                cut.append(np.empty(0, np.int64))
-            elif _UNCUT.search(text) or any(x in text for x in self.special):
+            if _UNCUT.search(text) or any(x in text for x in self.special):
                 cut.append(None)
             else:
-                head, *rest = text.split(" ")
-                cut.append(np.fromiter(map(number, [head, *[" " + x for x in rest]]), np.int64, 1 + len(rest)))
-        self._learn(fresh)
+                segments = text.split(" ")
+                segments[0] = " " + segments[0]
+                cut.append(np.fromiter(map(number, segments), np.int64, len(segments)))
+        lasting = len(known.fresh) - len(known.passing)
+        self._learn(known.fresh[:lasting])
+        mark = self.used, self.n
+        self._learn(known.fresh[lasting:])
+        known.fresh, known.passing = [], {}
         out = []
         for text, at in zip(texts, cut):
             if at is None:
@@ -87,8 +101,8 @@ class SegmentEncoder:
                 continue
             sizes = self.size[at]
             ends = np.cumsum(sizes, dtype=np.int64)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.ids[np.arange(total) + np.repeat(self.begin[at] - ends + sizes, sizes)])
+            out.append(self.ids[np.arange(int(ends[-1])) + np.repeat(self.begin[at] - ends + sizes, sizes)])
+        self.used, self.n = mark
         return out
 
 
