@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtrend.llm import decontaminate, html_text, jaccard, packing, pii, token_store, toxicity, url_rules, vectors
+from jobtrend.llm import decontaminate, html_text, jaccard, packing, pii, repeats, token_store, toxicity, url_rules, vectors
 from jobtrend.llm.common import table
 from jobtrend.llm.sql import OP5_SQL, OP10_SQL
 
@@ -14,6 +14,11 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"]).select("row.*", "found.*")
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("row.doc_id", "found.n_bytes", "found.n_removed", "found.n_spans", "found.kept_sha256")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -61,6 +66,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_html_text": op1_html_text,
+    "op2_suffix_array": op2_suffix_array,
     "op3_toxicity": op3_toxicity,
     "op4_token_store": op4_token_store,
     "op5_decontamination": op5_decontamination,
