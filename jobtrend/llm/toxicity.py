@@ -140,11 +140,13 @@ def fit(buckets: np.ndarray, counts: np.ndarray, label: np.ndarray, seed: int =
         np.zeros(len(FUNCTION_WORDS) + 1),
     )
     # dimension 0 starts as the smoothed log-odds of a bucket being in a toxic text
-    doc = np.repeat(np.arange(len(counts)), counts)
-    seen = np.unique(doc[:, None].repeat(buckets.shape[1], 1).ravel() * BUCKETS + buckets.ravel().astype(np.int64))
     share = label.mean()
-    toxic = np.bincount(seen % BUCKETS, label[seen // BUCKETS], BUCKETS)
-    total = np.bincount(seen % BUCKETS, minlength=BUCKETS)
+    toxic, total = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for y, (own, n) in zip(np.split(label, range(256, len(label), 256)), _slices(buckets, counts)):
+        doc = np.repeat(np.arange(len(n)), n * buckets.shape[1])
+        seen = np.unique(doc * BUCKETS + own.ravel())  # a text counts once for a bucket
+        toxic += np.bincount(seen % BUCKETS, y[seen // BUCKETS], BUCKETS)
+        total += np.bincount(seen % BUCKETS, minlength=BUCKETS)
     odds = (toxic + 5 * share) / (total + 5)
     model.embedding[:, 0] = np.clip(np.log(odds / (1 - odds)) - np.log(share / (1 - share)), -1, 5) / 2
     model.filters[0][:, 0], model.weights[0] = 0, 1.0
@@ -233,8 +235,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, do
     chosen = [marked.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(rows) for y in (0, 1)]
     known = docs.select(F.col(doc_id).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen[0].union(chosen[1])), "k")
     own = known.groupBy("k", "y").agg(F.min("t").alias("t")).withColumn("fold", F.crc32(F.col("k").cast("string").cast("binary")) % 5)
-    table = own.select("k", "t", "y", "fold").toArrow().sort_by("k").to_pydict()
-    return [(k, t, y, fold, found[y] / min(found[y], rows)) for k, t, y, fold in zip(*table.values())]
+    chosen = own.select("k", "t", "y", "fold").toArrow().sort_by("k")
+    return [(k, t, y, fold, found[y] / min(found[y], rows)) for k, t, y, fold in zip(*chosen.to_pydict().values())]
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, doc_id: str = "doc_id", text: str = "text") -> Model | None:
@@ -248,8 +250,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, doc_id: st
         parts.append(features(words))
         counts.append(words.counts)
         language.append(languages(words))
-    buckets, counts, language = np.concatenate(parts), np.concatenate(counts).astype(np.int64), np.concatenate(language)
     fold, weight = np.array([x[3] for x in known]), np.array([x[4] for x in known])
+    del known
+    buckets, counts, language = np.concatenate(parts), np.concatenate(counts).astype(np.int64), np.concatenate(language)
+    del parts
     used = fold != 1
     if not 0 < label[used].sum() < used.sum() or not 0 < label[~used].sum() < (~used).sum():
         used = np.ones(len(label), bool)  # too few rows for a fold of their own
