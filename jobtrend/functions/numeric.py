@@ -13,9 +13,17 @@ def nan_to_null(c) -> Column:
     return F.nanvl(as_col(c), F.lit(None).cast("double"))
 
 
+# A plain decimal, with an exponent at most; the cast alone also takes type suffixes
+# ('1d'), hexadecimal floats and names of infinity.
+DECIMAL_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def to_double(c) -> Column:
-    """CST2: text or number -> double; unparsable text ('-', '') -> NULL, NaN -> NULL."""
-    return nan_to_null(as_col(c).try_cast("double"))
+    """CST2: text or number -> double; text that is no plain decimal -> NULL, and so is
+    a number that is not finite."""
+    number = as_col(c).try_cast("double")
+    plain = as_col(c).cast("string").rlike(DECIMAL_TEXT)
+    return F.when(plain & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def round2(c) -> Column:

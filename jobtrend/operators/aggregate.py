@@ -10,8 +10,9 @@ sends one partial row per map task, never its raw rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtrend.operators.clean import adjusted, not_equal_keep_null, substate
@@ -82,8 +83,38 @@ def large_areas(slice_df: DataFrame, params: ReportParams) -> DataFrame:
 
 def large_area_rows(slice_df: DataFrame, params: ReportParams) -> DataFrame:
     """FLT9 / JON8: every adjusted row of the large areas, via a semi join on the
-    distinct area list (no list is collected to the driver)."""
-    return slice_df.where(adjusted()).join(large_areas(slice_df, params), on="area_name", how="left_semi")
+    distinct area list (no list is collected to the driver). Statewide rows, which are
+    never members, leave before the join."""
+    rows = substate(slice_df).where(adjusted())
+    return rows.join(large_areas(slice_df, params), on="area_name", how="left_semi")
+
+
+def large_area_sums(slice_df: DataFrame, keys: Sequence[str], params: ReportParams) -> DataFrame:
+    """AGG4 + FLT9 + JON6 + JON8: sums of the large areas, from one aggregate of the rows.
+
+    Each group carries its largest anchor value, and an area is a member if any of its
+    groups (those with a NULL key too) has one above the threshold. Only aggregated rows,
+    one a series and month, meet by area.
+    """
+    anchor = F.when(F.col("industry_name") == F.lit(params.anchor_industry), F.col("value"))
+    groups = (
+        substate(slice_df)
+        .where(adjusted())
+        .groupBy(*keys)
+        .agg(F.sum("value").alias("value"), F.max(anchor).alias("_anchor"))
+    )
+    return members_of(groups, keys, params)
+
+
+def members_of(groups: DataFrame, keys: Sequence[str], params: ReportParams) -> DataFrame:
+    """The groups of areas with an anchor value above the threshold, and without NULL keys."""
+    largest = F.max("_anchor").over(Window.partitionBy("area_name"))
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return (
+        groups.withColumn("_largest", largest)
+        .where((F.col("_largest") > F.lit(float(params.threshold))) & whole)
+        .select(*keys, "value", F.col("value").alias("value_mom"))
+    )
 
 
 def small_area_condition(params: ReportParams) -> Column:

@@ -56,8 +56,6 @@ class SeriesFrames:
         return self.ordered.rowsBetween(-(n - 1), 0)
 
     def up_to(self, k: int):
-        if self.calendar:
-            return self.ordered.rangeBetween(Window.unboundedPreceding, -k)
         return self.ordered.rowsBetween(Window.unboundedPreceding, -k)
 
     def lag(self, x: Column, k: int) -> Column:
@@ -66,6 +64,8 @@ class SeriesFrames:
         return F.lag(x, k).over(self.ordered)
 
     def filled_base(self, x: Column, k: int) -> Column:
+        if self.calendar:  # exactly k months back, or no base
+            return self.lag(x, k)
         return F.last(x, ignorenulls=True).over(self.up_to(k))
 
     def rolling_mean(self, x: Column, n: int) -> Column:
@@ -113,12 +113,12 @@ def base_columns(frames: SeriesFrames, families=FAMILIES) -> list[Column]:
 
 
 def change_columns(families=FAMILIES) -> list[Column]:
-    """WIN3-WIN6 from the bases: unrounded ``pct_change*`` (a ratio) and ``job_growth*``."""
+    """WIN3-WIN6 from the bases: unrounded ``pct_change*`` (a ratio) and ``abs_growth*``."""
     out = []
     for suffix, source, _ in families:
         pct = ratio_change(F.col(source), F.col(f"_base{suffix}"))
         out.append(pct.alias(f"pct_change{suffix}"))
-        out.append((F.col(f"_shift{suffix}") * pct).alias(f"job_growth{suffix}"))
+        out.append((F.col(f"_shift{suffix}") * pct).alias(f"abs_growth{suffix}"))
     return out
 
 
@@ -181,7 +181,7 @@ def round_measures(df: DataFrame) -> DataFrame:
     replaced = {}
     for suffix, _, _ in FAMILIES:
         replaced[f"pct_change{suffix}"] = percent(F.col(f"pct_change{suffix}"))
-        replaced[f"job_growth{suffix}"] = round2(F.col(f"job_growth{suffix}"))
+        replaced[f"abs_growth{suffix}"] = round2(F.col(f"abs_growth{suffix}"))
     return df.withColumns(replaced)
 
 
@@ -191,5 +191,5 @@ def measure_columns() -> list[str]:
     for suffix, source, _ in FAMILIES:
         if source not in cols:
             cols.append(source)
-        cols += [f"pct_change{suffix}", f"rank{suffix}", f"job_growth{suffix}"]
+        cols += [f"pct_change{suffix}", f"rank{suffix}", f"abs_growth{suffix}"]
     return cols

@@ -2,11 +2,12 @@
 
 Plan shape: the small code tables are joined to the series table first, giving
 one enriched series row per series; the observation rows then pass through a
-single equi-join on ``series_id``. Code tables are read as they are and the
-planner broadcasts them only when their measured size is below the broadcast
-threshold (``jobtrend.session``); larger ones shuffle. A hot series id is split
-by adaptive skew-join handling. Filters on series attributes (seasonal, data
-type, state) are pushed by Catalyst into the series side before the big join.
+single equi-join on ``series_id``. Code tables are broadcast by the planner only
+below its threshold. Observations never are: the series side is the build side
+where its series table is estimated below the threshold, and else both sides are
+sorted and merged, with hot series ids split by adaptive skew handling. Filters
+on series attributes (seasonal, data type, state) are pushed by Catalyst into the
+series side before the big join.
 """
 
 from __future__ import annotations
@@ -27,6 +28,19 @@ def _pad(df: DataFrame, widths: dict[str, int]) -> DataFrame:
     return df.withColumns({c: zfill(F.col(c), w) for c, w in widths.items() if c in df.columns})
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """The planner's size estimate (file sizes and filters; no job runs)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def _join_series(observations: DataFrame, enriched: DataFrame, series: DataFrame) -> DataFrame:
+    """``observations`` (the large side) joined to their series, on ``series_id``."""
+    limit = observations.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    # an enriched row is a series row with its names, about twice as wide
+    small = 2 * _estimated_bytes(series) <= limit
+    return observations.join(enriched.hint("broadcast" if small else "merge"), "series_id")
+
+
 def regional_series_dims(dims: dict[str, DataFrame]) -> DataFrame:
     """sm_series joined to industry, supersector, state and area names."""
     series = _pad(
@@ -74,8 +88,7 @@ def regional_series_dims(dims: dict[str, DataFrame]) -> DataFrame:
 def regional_star_join(observations: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """JON1 + PRJ1: observations with their names; all joins inner."""
     obs = observations.select("series_id", "year", "period", "value")
-    enriched = regional_series_dims(dims)
-    return obs.join(enriched, "series_id").select(*REGIONAL_FACT_COLUMNS)
+    return _join_series(obs, regional_series_dims(dims), dims["sm_series"]).select(*REGIONAL_FACT_COLUMNS)
 
 
 def national_series_dims(dims: dict[str, DataFrame]) -> DataFrame:
@@ -108,4 +121,4 @@ def national_series_dims(dims: dict[str, DataFrame]) -> DataFrame:
 def national_star_join(observations: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """JON2 + PRJ2."""
     obs = observations.select("series_id", "year", "period", "value")
-    return obs.join(national_series_dims(dims), "series_id").select(*NATIONAL_FACT_COLUMNS)
+    return _join_series(obs, national_series_dims(dims), dims["ce_series"]).select(*NATIONAL_FACT_COLUMNS)

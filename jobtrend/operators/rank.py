@@ -1,64 +1,41 @@
 """Ranks of regions within (supersector, industry, year, Month), split across tasks.
 
 A window rank puts every row of one rank group in one task. For states that is
-a fixed, small list; for areas the group grows with the data. This version
-never holds a group in one task:
-
-1. The changes of all ranked families are stacked into rows (family, group keys,
-   change, region) with the NULL changes left out.
-2. The rows are range-partitioned and sorted on (family, group, change desc,
-   region): a large group is cut into many partitions. Each row is tagged with
-   its partition id and its index inside the partition; the tags are fixed by a
-   checkpoint in the shared checkpoint folder.
-3. Per (partition, group): first index and row count (at most partitions +
-   groups rows). A window per group over that table gives the number of the
-   group's rows in earlier partitions (a group spans at most P partitions).
-4. rank = rows in earlier partitions + index - first index + 1 ("first": ties
-   in region order). "average": tied rows share the mean of their first ranks,
-   from a partially aggregated count per (group, change).
-5. The ranks are pivoted back to one row per report key and joined on.
-
-The unranked report is checkpointed first, so the steps above read it instead
-of recomputing the sums and windows behind it.
+a fixed, small list; for areas the group grows with the data. Here a group is cut
+into slices that need no look at the data, so the plan stays lazy:
+
+1. The changes of all ranked families are stacked into rows (family, group keys, change,
+   region). A change belongs to the slice of its sign and magnitude, SLICES to a
+   doubling, which keeps the order of changes; equal changes are cut further
+   by the first TIE_PREFIX characters of the region, which keeps the tie order.
+2. Rows are counted by (slice, change, prefix), with map-side partial sums. Running sums
+   inside each slice, and over the few slices of a group, give how many rows come
+   before; none of them sees a row of the report.
+3. Rows meet their count by hash of (group, slice, change, prefix). "first": count
+   before + position among equals. "average": tied rows share the mean of their
+   positions, which the counts alone give.
+4. The families of a report row are put together again by its key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtrend.operators.growth import FAMILIES
-from jobtrend.session import checkpointed, ensure_checkpoint_dir
-
-
-def largest_group(df: DataFrame, rank_keys: Sequence[str]) -> int:
-    """Rows in the largest rank group (one aggregate; a single number returns)."""
-    row = df.groupBy(*rank_keys).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
-
 
-def add_ranks_checked(
-    df: DataFrame,
-    key_cols: Sequence[str],
-    rank_keys: Sequence[str],
-    tie_keys: Sequence[str],
-    methods: dict[str, str] | None = None,
-    max_window_group_rows: int = 500_000,
-) -> DataFrame:
-    """Window ranks when the largest rank group is within a proven bound,
-    range-split ranks otherwise.
+SLICES = 16
+TIE_PREFIX = 4
+# log2 of the smallest positive double is -1074
+_LEAST_EXPONENT = 1075
 
-    The unranked report is checkpointed first (shared folder), so measuring the
-    groups and ranking both read it instead of recomputing it.
-    """
-    from jobtrend.operators.growth import add_ranks
 
-    df = checkpointed(df)
-    if largest_group(df, rank_keys) <= max_window_group_rows:
-        return add_ranks(df, rank_keys, tie_keys, methods)
-    return add_ranks_split(df, key_cols, rank_keys, tie_keys, methods, materialized=True)
+def slice_of(change: Column) -> Column:
+    """The slice of a change: a whole number that never falls as the change grows."""
+    size = F.floor(F.log2(F.abs(change)) * F.lit(SLICES)) + F.lit(SLICES * _LEAST_EXPONENT)
+    return F.when(change == 0, F.lit(0)).otherwise(F.signum(change).cast("long") * F.greatest(size, F.lit(1)))
 
 
 def add_ranks_split(
@@ -67,71 +44,58 @@ def add_ranks_split(
     rank_keys: Sequence[str],
     tie_keys: Sequence[str],
     methods: dict[str, str] | None = None,
-    partitions: int | None = None,
-    materialized: bool = False,
 ) -> DataFrame:
-    """Same result as ``growth.add_ranks``; ``key_cols`` is the report's unique key.
-
-    ``materialized``: ``df`` is already a checkpoint (no second one is taken).
-    """
+    """Same result as ``growth.add_ranks``; ``key_cols`` is the report's unique key."""
     methods = methods or {}
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    ranked_fams = [(s, methods.get(s, "first")) for s, _, _ in FAMILIES if methods.get(s, "first") is not None]
-    if not ranked_fams:
+    families = [(s, methods.get(s, "first")) for s, _, _ in FAMILIES if methods.get(s, "first") is not None]
+    if not families:
         return df.select("*", *[F.lit(None).cast("double").alias(f"rank{s}") for s, _, _ in FAMILIES])
-    key_cols, rank_keys, tie_keys = list(key_cols), list(rank_keys), list(tie_keys)
-    group = ["_fam", *rank_keys]
-    if not materialized:
-        # The report rows feed the range sampling, the ranked rows and the final
-        # join: materialize them once (shared folder, lineage cut), not three times.
-        df = checkpointed(df)
-
-    entries = F.array(*[F.struct(F.lit(s).alias("_fam"), F.col(f"pct_change{s}").alias("_pct")) for s, _ in ranked_fams])
-    stacked = (
-        df.select(*key_cols, F.explode(entries).alias("_e"))
-        .select(*key_cols, "_e._fam", "_e._pct")
-        .where(F.col("_pct").isNotNull())
+    key_cols, tie_keys = list(key_cols), list(tie_keys)
+    group = ["_family", *rank_keys]
+
+    # the report row travels with its first family only
+    record = F.struct(*df.columns)
+    kind = df.select(record.alias("r")).schema["r"].dataType
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(s).alias("_family"),
+                F.col(f"pct_change{s}").alias("_change"),
+                (record if i == 0 else F.lit(None).cast(kind)).alias("_record"),
+            )
+            for i, (s, _) in enumerate(families)
+        ]
+    )
+    stacked = df.select(*key_cols, F.explode(entries).alias("_e")).select(*key_cols, "_e.*").select(
+        "*", slice_of(F.col("_change")).alias("_slice"), F.substring(tie_keys[0], 1, TIE_PREFIX).alias("_prefix")
     )
 
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [*[F.col(g) for g in group], F.col("_pct").desc(), *[F.col(t).asc() for t in tie_keys]]
-    tagged = checkpointed(
-        stacked.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
-    ).withColumn("_li", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    per_part = tagged.groupBy("_pid", *group).agg(
-        F.min("_li").alias("_first"), F.count(F.lit(1)).alias("_n")
+    places = [*group, "_slice", "_change", "_prefix"]
+    counts = stacked.where(F.col("_change").isNotNull()).groupBy(*places).agg(F.count(F.lit(1)).alias("_n"))
+    slices = counts.groupBy(*group, "_slice").agg(F.sum("_n").alias("_rows"))
+    higher = Window.partitionBy(*group).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select(*group, "_slice", F.coalesce(F.sum("_rows").over(higher), F.lit(0)).alias("_above"))
+    inside = Window.partitionBy(*group, "_slice").orderBy(F.col("_change").desc(), "_prefix")
+    upto = Window.partitionBy(*group, "_slice").orderBy(F.col("_change").desc())  # with all equal changes
+    equals = Window.partitionBy(*group, "_slice", "_change")
+    counts = counts.select(
+        *places,
+        F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_n").over(upto.rangeBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+        F.sum("_n").over(equals).alias("_equal"),
     )
-    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select("_pid", *group, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    ranks = tagged.join(offsets, ["_pid", *group]).select(
-        *key_cols,
-        "_fam",
-        "_pct",
-        (F.col("_off") + F.col("_li") - F.col("_first") + F.lit(1)).cast("double").alias("_rank"),
+    counts = counts.join(slices, [*group, "_slice"])
+
+    among = Window.partitionBy(*places).orderBy(*tie_keys)
+    joined = stacked.join(counts, places, "left").withColumn("_position", F.row_number().over(among))
+    averaged = [s for s, m in families if m == "average"]
+    first = (F.col("_above") + F.col("_before") + F.col("_position")).cast("double")
+    average = (F.col("_above") + F.col("_upto")).cast("double") - (F.col("_equal").cast("double") - 1.0) / 2.0
+    ranked = joined.select(
+        *key_cols, "_family", "_record", F.when(F.col("_family").isin(averaged), average).otherwise(first).alias("_rank")
     )
-
-    averaged = [s for s, m in ranked_fams if m == "average"]
-    if averaged:
-        ties = (
-            ranks.where(F.col("_fam").isin(averaged))
-            .groupBy(*group, "_pct")
-            .agg(F.min("_rank").alias("_r0"), F.count(F.lit(1)).alias("_c"))
-        )
-        ranks = ranks.join(ties, [*group, "_pct"], "left").select(
-            *key_cols,
-            "_fam",
-            F.when(
-                F.col("_fam").isin(averaged),
-                F.col("_r0") + (F.col("_c").cast("double") - F.lit(1.0)) / F.lit(2.0),
-            )
-            .otherwise(F.col("_rank"))
-            .alias("_rank"),
-        )
-
-    pivot = ranks.groupBy(*key_cols).agg(
-        *[F.max(F.when(F.col("_fam") == s, F.col("_rank"))).alias(f"rank{s}") for s, _, _ in FAMILIES]
+    rows = ranked.groupBy(*key_cols).agg(
+        F.first("_record", ignorenulls=True).alias("_record"),
+        *[F.max(F.when(F.col("_family") == s, F.col("_rank"))).alias(f"rank{s}") for s, _, _ in FAMILIES],
     )
-    return df.join(pivot, key_cols, "left")
+    return rows.select("_record.*", *[f"rank{s}" for s, _, _ in FAMILIES])

@@ -14,7 +14,8 @@ before it. A plain ``Window.orderBy`` would pull every row into one task. Here:
    it in its own window partition. Means need H >= n-1, shifts H >= k.
 3. Forward-filled bases. A base may lie before the halo. A per-bucket summary
    (one row per bucket) holds the last non-NULL value before the halo and in
-   the whole bucket; a window over that small table gives each bucket its carry.
+   the whole bucket. Runs of RUN_BUCKETS buckets find their carries side by side, and a
+   window over one row a run carries values from run to run.
 4. Means are computed first (pass A) and their bases afterwards (pass B), so a
    base is always taken from fully computed means.
 
@@ -35,6 +36,8 @@ from jobtrend.params import ANNUAL_MONTHS, ReportParams
 from jobtrend.session import checkpointed, ensure_checkpoint_dir
 
 DEFAULT_BUCKET_ROWS = 65536
+# Buckets whose carries one task works out together.
+RUN_BUCKETS = 1024
 POS = "_pos"
 BUCKET = "_b"
 
@@ -97,17 +100,24 @@ def _carry(df: DataFrame, columns: Sequence[str], bucket_rows: int, halo: int) -
         # max_by skips rows whose ordering is NULL: the last non-NULL value by position
         aggs.append(F.max_by(x, F.when(x.isNotNull() & before_tail, F.col(POS))).alias(f"_pre_{c}"))
         aggs.append(F.max_by(x, F.when(x.isNotNull(), F.col(POS))).alias(f"_full_{c}"))
-    per_bucket = df.groupBy(own.alias(BUCKET)).agg(*aggs)
-    # one row per bucket (table rows / bucket rows)
-    w = Window.orderBy(BUCKET)
-    cols = []
-    for c in columns:
-        pre_prev = F.lag(F.col(f"_pre_{c}"), 1).over(w)
-        full_older = F.last(F.col(f"_full_{c}"), ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, -2)
-        )
-        cols.append(F.coalesce(pre_prev, full_older).alias(f"_carry_{c}"))
-    return per_bucket.select(BUCKET, *cols)
+    per_bucket = df.groupBy(own.alias(BUCKET)).agg(*aggs).withColumn("_run", F.floor(F.col(BUCKET) / F.lit(RUN_BUCKETS)))
+    # the last non-NULL value up to a bucket: inside its run of buckets, else from earlier runs
+    inside = Window.partitionBy("_run").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, 0)
+    runs = per_bucket.groupBy("_run").agg(
+        *[F.max_by(F.col(f"_full_{c}"), F.when(F.col(f"_full_{c}").isNotNull(), F.col(BUCKET))).alias(f"_full_{c}") for c in columns]
+    )
+    # one row a run, i.e. one for RUN_BUCKETS * bucket_rows rows of the table
+    earlier = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    older = runs.select("_run", *[F.last(F.col(f"_full_{c}"), ignorenulls=True).over(earlier).alias(f"_older_{c}") for c in columns])
+    upto = per_bucket.select(
+        "_run", BUCKET, *[F.last(F.col(f"_full_{c}"), ignorenulls=True).over(inside).alias(f"_inside_{c}") for c in columns]
+    ).join(older, "_run")
+    # a bucket's halo comes from the bucket before it: older values end two buckets back
+    far = upto.select(
+        (F.col(BUCKET) + F.lit(2)).alias(BUCKET), *[F.coalesce(f"_inside_{c}", f"_older_{c}").alias(f"_far_{c}") for c in columns]
+    )
+    near = per_bucket.select((F.col(BUCKET) + F.lit(1)).alias(BUCKET), *[f"_pre_{c}" for c in columns])
+    return near.join(far, BUCKET, "left").select(BUCKET, *[F.coalesce(f"_pre_{c}", f"_far_{c}").alias(f"_carry_{c}") for c in columns])
 
 
 def add_growth_table(
@@ -131,7 +141,7 @@ def add_growth_table(
     # pass A: means
     w = Window.partitionBy(BUCKET).orderBy(POS)
     a = _with_halo(positioned, bucket_rows, halo_means)
-    means = (
+    means = checkpointed(  # the bases and the carries both read it
         a.select(
             "*",
             _rolling_mean(F.col("value"), n_ytd, w).alias("value_ytd_avg"),
@@ -158,5 +168,5 @@ def add_growth_table(
         base = F.coalesce(F.col(f"_in{suffix}"), F.col(f"_carry_{source}"))
         pct = ratio_change(F.col(source), base)
         changes.append(pct.alias(f"pct_change{suffix}"))
-        changes.append((F.col(f"_shift{suffix}") * pct).alias(f"job_growth{suffix}"))
+        changes.append((F.col(f"_shift{suffix}") * pct).alias(f"abs_growth{suffix}"))
     return joined.select(*base_cols, "value_ytd_avg", "value_ann_avg", *changes)

@@ -39,12 +39,6 @@ class ReportParams:
     tidy_names      also trim the space left by removing area-name suffixes.
     data_type_code  national slices: optional data type filter (the reference has none).
     bucket_rows     table scope only: rows per window bucket (each bucket is one task).
-    rank_strategy   "window": one window task per rank group; "split": range-split
-                    ranks (no group in one task); "checked": window only when the
-                    largest rank group measures at most ``max_window_group_rows``
-                    rows, else split; "auto": window for regions from a fixed list
-                    (states), "checked" for areas, whose number grows with the data.
-    max_window_group_rows  bound of the "auto" check.
     """
 
     ytd_months: int = REFERENCE_YTD_MONTHS
@@ -57,8 +51,6 @@ class ReportParams:
     tidy_names: bool = False
     data_type_code: str | None = None
     bucket_rows: int = 65536
-    rank_strategy: str = "auto"
-    max_window_group_rows: int = 500_000
 
     def with_(self, **changes) -> "ReportParams":
         return replace(self, **changes)
@@ -68,11 +60,7 @@ class ReportParams:
             raise ValueError(f"ytd_mode must be 'trailing' or 'calendar', got {self.ytd_mode!r}")
         if self.scope not in ("series", "table"):
             raise ValueError(f"scope must be 'series' or 'table', got {self.scope!r}")
-        if self.rank_strategy not in ("auto", "window", "split", "checked"):
-            raise ValueError(
-                f"rank_strategy must be 'auto', 'window', 'split' or 'checked', got {self.rank_strategy!r}"
-            )
         if self.ytd_months < 1:
             raise ValueError("ytd_months must be positive")
-        if self.bucket_rows < 1 or self.max_window_group_rows < 1:
-            raise ValueError("bucket_rows and max_window_group_rows must be positive")
+        if self.bucket_rows < 1:
+            raise ValueError("bucket_rows must be positive")

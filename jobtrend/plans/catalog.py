@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobtrend.functions import area_parts, month_digits, percent, round2, strip_ws, to_double, zfill
@@ -27,7 +27,13 @@ from jobtrend.operators.growth import measure_columns
 from jobtrend.params import STATEWIDE
 from jobtrend.plans import oracle as O
 from jobtrend.session import ensure_checkpoint_dir
-from jobtrend.plans.facts import national_fact, regional_fact
+from jobtrend.plans.facts import (
+    national_fact,
+    national_fact_from_files,
+    regional_fact,
+    regional_fact_from_files,
+)
+from jobtrend.plans.frames import national_frames, regional_frames
 from jobtrend.plans.reports import (
     COHORT_RANKS,
     FIRST_RANKS,
@@ -50,7 +56,7 @@ from jobtrend.sources.fixture import (
     regional_raw,
     table,
 )
-from jobtrend.sources.sinks import write_report
+from jobtrend.sources.sinks import write_csv, write_report
 from jobtrend.sources.tsv import (
     NATIONAL_STRIPPED,
     append_frames,
@@ -162,7 +168,7 @@ def _national_file_sql(where: str) -> str:
     "append_files",
     " union all ".join(
         _national_file_sql(w)
-        for w in ("l_returnflag = 'A'", "l_returnflag = 'N'", "l_returnflag not in ('A', 'N')")
+        for w in ("l_returnflag = 'A'", "l_returnflag = 'N'", "l_returnflag not in ('A', 'N') or l_returnflag is null")
     ),
 )
 def q_append_files(spark, sf_dir):
@@ -171,7 +177,7 @@ def q_append_files(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     flag = F.col("l_returnflag")
     files = []
-    for cond in (flag == "A", flag == "N", ~flag.isin("A", "N")):
+    for cond in (flag == "A", flag == "N", ~flag.isin("A", "N") | flag.isNull()):
         files.append(national_observations(spark, sf_dir, lineitem=li.where(cond)))
     return strip_columns(append_frames(files), NATIONAL_STRIPPED)
 
@@ -197,27 +203,36 @@ def q_code_padding(spark, sf_dir):
     )
 
 
+# Text that is no plain decimal, though a cast may take some of it for a number.
+ODD_TEXTS = ("1d", "12f", "0x1p3", "Infinity", "-inf", "1e999", "1_000")
 _VALUE_TEXT_SQL = (
     "case l_linenumber when 3 then '-' when 4 then '' when 5 then ' ' || cast(l_quantity as varchar) || ' ' "
-    "when 6 then 'NaN' else cast(l_quantity as varchar) end"
+    "when 6 then 'NaN' when 7 then case cast(l_orderkey % "
+    + str(len(ODD_TEXTS)) + " as integer) "
+    + " ".join(f"when {i} then '{t}'" for i, t in enumerate(ODD_TEXTS))
+    + " end else cast(l_quantity as varchar) end"
 )
+_DECIMAL_SQL = "regexp_full_match(trim(value_text), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')"
 
 
 @register(
     "numeric_coercion",
     f"select l_orderkey, l_linenumber, value_text, "
-    f"case when isnan(try_cast(value_text as double)) then null else try_cast(value_text as double) end as value "
+    f"case when {_DECIMAL_SQL} and not isinf(try_cast(value_text as double)) then try_cast(value_text as double) end as value "
     f"from (select l_orderkey, l_linenumber, {_VALUE_TEXT_SQL} as value_text from lineitem) t",
 )
 def q_numeric_coercion(spark, sf_dir):
-    """CST2 + NUL1: text values to double; '-', blanks and NaN become NULL."""
+    """CST2 + NUL1: text values to double; '-', blanks, NaN and text that is no plain
+    decimal become NULL."""
     li = table(spark, sf_dir, "lineitem")
     q = F.col("l_quantity").cast("string")
+    odd = F.element_at(F.array(*map(F.lit, ODD_TEXTS)), (F.col("l_orderkey") % len(ODD_TEXTS) + 1).cast("int"))
     text = (
         F.when(F.col("l_linenumber") == 3, F.lit("-"))
         .when(F.col("l_linenumber") == 4, F.lit(""))
         .when(F.col("l_linenumber") == 5, F.concat(F.lit(" "), q, F.lit(" ")))
         .when(F.col("l_linenumber") == 6, F.lit("NaN"))
+        .when(F.col("l_linenumber") == 7, odd)
         .otherwise(q)
     )
     return li.select("l_orderkey", "l_linenumber", text.alias("value_text")).select(
@@ -245,7 +260,7 @@ def q_strip_text(spark, sf_dir):
     "round_two",
     "select l_orderkey, l_linenumber, "
     "round_even(((l_extendedprice / (l_quantity * 1000.0::double) - 1) * 100) * 100, 0) / 100 as pct_change, "
-    "round_even((l_extendedprice * l_discount - l_tax * 1000.0::double) * 100, 0) / 100 as job_growth "
+    "round_even((l_extendedprice * l_discount - l_tax * 1000.0::double) * 100, 0) / 100 as abs_growth "
     "from lineitem",
 )
 def q_round_two(spark, sf_dir):
@@ -255,7 +270,7 @@ def q_round_two(spark, sf_dir):
     ratio = F.col("l_extendedprice") / (F.col("l_quantity") * F.lit(1000.0)) - F.lit(1.0)
     growth = F.col("l_extendedprice") * F.col("l_discount") - F.col("l_tax") * F.lit(1000.0)
     return li.select(
-        "l_orderkey", "l_linenumber", percent(ratio).alias("pct_change"), round2(growth).alias("job_growth")
+        "l_orderkey", "l_linenumber", percent(ratio).alias("pct_change"), round2(growth).alias("abs_growth")
     )
 
 
@@ -386,21 +401,19 @@ _dense_query("rolling_ytd", ["value", "value_ytd_avg"], doc="WIN1: trailing 5-ro
 _dense_query("rolling_annual", ["value", "value_ann_avg"], doc="WIN2: trailing 12-row mean.")
 _dense_query("pct_change_12", ["value", "pct_change"], doc="WIN3: 12-row change, forward-filled base.")
 _dense_query("pct_change_1", ["value_mom", "pct_change_mom"], doc="WIN4: 1-row change of value_mom.")
-_dense_query("abs_growth_12", ["value", "job_growth"], doc="WIN5: 12-row shift times change.")
-_dense_query("abs_growth_1", ["value_mom", "job_growth_mom"], doc="WIN6: 1-row shift times change.")
+_dense_query("abs_growth_12", ["value", "abs_growth"], doc="WIN5: 12-row shift times change.")
+_dense_query("abs_growth_1", ["value_mom", "abs_growth_mom"], doc="WIN6: 1-row shift times change.")
 _dense_query("rank_first", ["pct_change", "rank", "pct_change_ann", "rank_ann"], doc="WIN8.")
 _dense_query("rank_average", ["pct_change_mom", "rank_mom"], COHORT_RANKS, doc="WIN9.")
 _dense_query("calendar_lag", measure_columns(), doc="D2: lags and means counted in calendar months.",
              calendar=True)
-_dense_query("calendar_ytd", ["value", "value_ytd_avg", "pct_change_ytd", "rank_ytd", "job_growth_ytd"],
+_dense_query("calendar_ytd", ["value", "value_ytd_avg", "pct_change_ytd", "rank_ytd", "abs_growth_ytd"],
              doc="D7: year-to-date mean over the months of the same year.", ytd_mode="calendar")
 
 
 # --- table scope (the reference's windows down the whole sorted table) ----------------
 
-# Small buckets so that the halo and carry logic runs across many buckets even at
-# the check's scale; results do not depend on the bucket size.
-TABLE_SCOPE_PARAMS = FIXTURE_PARAMS.with_(scope="table", bucket_rows=1000)
+TABLE_SCOPE_PARAMS = FIXTURE_PARAMS.with_(scope="table")
 
 
 @register("table_scope_state", O.state_report_sql(table_scope=True))
@@ -460,18 +473,138 @@ def q_write_report(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-# --- range-split ranks (what "auto" picks for areas once a rank group is large) --------
+@register(
+    "sorted_report",
+    f"select *, row_number() over (order by {_STATE_KEYS}) - 1 as position from ({O.state_report_sql()}) r",
+)
+def q_sorted_report(spark, sf_dir):
+    """ORD1: the state report written in key order; ``position`` is where a row stands in
+    the files taken in order (part number, then row of the part)."""
+    path = shared_scratch(spark, "sorted_report")
+    write_report(state_report(regional_clean_df(spark, sf_dir), FIXTURE_PARAMS), path, sort_by=_STATE_KEYS.split(", "))
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    rows = spark.read.parquet(path).select("*", name.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # one row a file
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_file").count()
+    before = sizes.select("_file", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"))
+    joined = rows.join(before, "_file").withColumn("position", F.col("_before") + F.col("_row"))
+    return joined.drop("_file", "_row", "_before")
+
+
+@register("write_csv", f"select * from ({O.national_report_sql()}) r")
+def q_write_csv(spark, sf_dir):
+    """SNK3: the national report as CSV, read back with the report's types; its ranks are
+    empty fields (NULL)."""
+    path = shared_scratch(spark, "national_csv")
+    report = national_report(national_clean_df(spark, sf_dir), FIXTURE_PARAMS)
+    write_csv(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+def _supersector_files(spark, sf_dir, observations, name):
+    """Observation files, one for each supersector group, as the published data comes."""
+    li = table(spark, sf_dir, "lineitem")
+    flag = F.col("l_returnflag")
+    paths = []
+    for k, cond in enumerate((flag == "A", flag == "N", ~flag.isin("A", "N") | flag.isNull())):
+        path = shared_scratch(spark, f"{name}-{k}")
+        write_observations(observations(spark, sf_dir, lineitem=li.where(cond)), path)
+        paths.append(path)
+    return paths
+
+
+_NATIONAL_ROWS = _national_file_sql("true")
+
+
+@register(
+    "national_tsv_scan",
+    f"select * replace (cast(null as varchar) as footnote_codes) from ({_NATIONAL_ROWS} union all "
+    f"{_national_file_sql("l_returnflag = 'A'")}) t",
+)
+def q_national_tsv_scan(spark, sf_dir):
+    """SRC2: several written files as one scan; a file given twice gives its rows twice."""
+    paths = _supersector_files(spark, sf_dir, national_observations, "ce")
+    return read_observations(spark, [*paths, paths[0]], NATIONAL_STRIPPED)
+
+
+def _code_files(spark, tables, fmt):
+    paths = {}
+    for name, df in tables.items():
+        paths[name] = shared_scratch(spark, name)
+        writer = df.write.format(fmt)
+        if fmt == "csv":
+            writer = writer.option("header", True).option("sep", "\t").option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        writer.save(paths[name])
+    return paths
+
+
+@register("regional_fact_from_files", O.with_ctes([], "select * from regional_clean"))
+def q_regional_fact_from_files(spark, sf_dir):
+    """RPT1 + SRC1 + SRC3 (parquet): the regional fact from an observation file and code tables."""
+    path = shared_scratch(spark, "sm-data")
+    write_observations(regional_observations(spark, sf_dir), path)
+    codes = _code_files(spark, regional_code_tables(spark, sf_dir), "parquet")
+    return regional_fact_from_files(spark, path, "parquet", codes, params=FIXTURE_PARAMS)
+
+
+@register("national_fact_from_files", O.with_ctes([], "select * from national_clean"))
+def q_national_fact_from_files(spark, sf_dir):
+    """RPT2 + SRC2 + SRC3 (csv): the national fact from several observation files and code tables."""
+    paths = _supersector_files(spark, sf_dir, national_observations, "ce-data")
+    codes = _code_files(spark, national_code_tables(spark, sf_dir), "csv")
+    options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return national_fact_from_files(spark, paths, "csv", codes, options)
+
+
+# --- frames that the job can write besides the reports (SNK2) ----------------------------
 
-SPLIT_RANK_PARAMS = FIXTURE_PARAMS.with_(rank_strategy="split")
+
+@register(
+    "adjusted_national_sums",
+    O.with_ctes(
+        [],
+        "select supersector_name, industry_name, year, Month, sum(value) as value_mom from national_slice "
+        "where seasonal = 'S' and supersector_name is not null and industry_name is not null "
+        "and year is not null and Month is not null group by all",
+    ),
+)
+def q_adjusted_national_sums(spark, sf_dir):
+    return national_frames(national_clean_df(spark, sf_dir), FIXTURE_PARAMS)["national_rankings_mom"]
+
+
+def _regional_frame(name, sql):
+    def query(spark, sf_dir):
+        return regional_frames(regional_clean_df(spark, sf_dir), FIXTURE_PARAMS)[name]
+
+    query.__doc__ = f"SNK2: the frame written as {name}."
+    register(name, sql)(query)
+
+
+_AREA_KEYS = "area_name, supersector_name, industry_name, year, Month"
+_regional_frame("sm_table_final_v3", O.with_ctes([], "select * from regional_slice where seasonal = 'U'"))
+_regional_frame("sm_table_final_v2", O.with_ctes([], "select * from regional_slice where seasonal = 'S'"))
+for _name, _where in (
+    ("msa_rankings_over_mom", f"seasonal = 'S' and area_name in ({O.LARGE_AREAS})"),
+    ("msa_rankings_under_mom", f"seasonal = 'S' and {O.SMALL_ROWS}"),
+):
+    _whole = " and ".join(f"{c} is not null" for c in _AREA_KEYS.split(", "))
+    _regional_frame(
+        _name,
+        O.with_ctes([], f"select {_AREA_KEYS}, sum(value) as value_mom from regional_slice where {_where} and {_whole} group by all"),
+    )
+
+
+# --- ranks in slices, under the names of their own checks ---------------------------------
 
 
 @register("area_report_split_ranks", O.area_report_sql("all"))
 def q_area_report_split_ranks(spark, sf_dir):
-    """WIN8 at scale: area ranks computed with range-split groups."""
-    return area_report(regional_clean_df(spark, sf_dir), SPLIT_RANK_PARAMS, cohort="all")
+    """WIN8 at scale: area ranks computed in slices of their groups."""
+    return area_report(regional_clean_df(spark, sf_dir), FIXTURE_PARAMS, cohort="all")
 
 
 @register("area_over_report_split_ranks", O.area_report_sql("over"))
 def q_area_over_report_split_ranks(spark, sf_dir):
-    """WIN9 at scale: averaged tie ranks with range-split groups."""
-    return area_report(regional_clean_df(spark, sf_dir), SPLIT_RANK_PARAMS, cohort="over")
+    """WIN9 at scale: averaged tie ranks computed in slices of their groups."""
+    return area_report(regional_clean_df(spark, sf_dir), FIXTURE_PARAMS, cohort="over")

@@ -140,6 +140,22 @@ def sums_sql(source: str, keys: Sequence[str], left_where: str, right_where: str
     ]
 
 
+CHANGE_FAMILIES = [("_mom", "value_mom", 1), ("_ytd", "value_ytd_avg", 12), ("_ann", "value_ann_avg", 12), ("", "value", 12)]
+
+
+def _calendar_changes_sql(series: Sequence[str], families) -> str:
+    """Changes against the row exactly k months back, found by a join on the month number."""
+    number = "cast({0}.year as integer) * 12 + cast({0}.Month as integer)"
+    cols, joins = [], []
+    for lag in sorted({k for _, _, k in families}):
+        on = " and ".join(f"b{lag}.{c} = m.{c}" for c in series)
+        joins.append(f"left join means b{lag} on {on} and {number.format(f'b{lag}')} = {number.format('m')} - {lag}")
+    for suf, x, lag in families:
+        pct = f"(m.{x} / nullif(b{lag}.{x}, 0) - 1)"
+        cols.append(f"{pct} as pct_change{suf}, b{lag}.{x} * {pct} as abs_growth{suf}")
+    return f"select m.*, {', '.join(cols)} from means m {' '.join(joins)}"
+
+
 def growth_sql(
     source: str,
     series: Sequence[str],
@@ -167,12 +183,6 @@ def growth_sql(
         def trailing(n):
             return f"({part} {order} range between {n - 1} preceding and current row)"
 
-        def upto(kk):
-            return f"({part} {order} range between unbounded preceding and {kk} preceding)"
-
-        def lag(x, kk):
-            return f"last_value({x}) over ({part} {order} range between {kk} preceding and {kk} preceding)"
-
     else:
 
         def trailing(n):
@@ -195,13 +205,15 @@ def growth_sql(
     ann = f"case when count(value) over {trailing(12)} = 12 then avg(value) over {trailing(12)} end"
     means = f"select *, {ytd} as value_ytd_avg, {ann} as value_ann_avg from {source}"
 
-    fams = [("_mom", "value_mom", 1), ("_ytd", "value_ytd_avg", 12), ("_ann", "value_ann_avg", 12), ("", "value", 12)]
+    fams = CHANGE_FAMILIES
+    if calendar:
+        return [("means", means), ("grown", _calendar_changes_sql(series, fams))]
     cols = []
     for suf, x, kk in fams:
         base = f"last_value({x} ignore nulls) over {upto(kk)}"
         pct = f"(case when {x} is not null then {x} / nullif({base}, 0) - 1 end)"
         cols.append(f"{pct} as pct_change{suf}")
-        cols.append(f"{lag(x, kk)} * {pct} as job_growth{suf}")
+        cols.append(f"{lag(x, kk)} * {pct} as abs_growth{suf}")
     changes = "select *, " + ", ".join(cols) + " from means"
     return [("means", means), ("grown", changes)]
 
@@ -234,7 +246,7 @@ MEASURES = (
     "value, value_mom, value_ytd_avg, value_ann_avg, "
     + ", ".join(
         f"round_even((pct_change{s} * 100) * 100, 0) / 100 as pct_change{s}, rank{s}, "
-        f"round_even(job_growth{s} * 100, 0) / 100 as job_growth{s}"
+        f"round_even(abs_growth{s} * 100, 0) / 100 as abs_growth{s}"
         for s in ("_mom", "_ytd", "_ann", "")
     )
 )
@@ -335,7 +347,7 @@ def measure_sql(name: str) -> str:
     """One report measure as the final select writes it (rounded where rounded)."""
     if name.startswith("pct_change"):
         return f"round_even(({name} * 100) * 100, 0) / 100 as {name}"
-    if name.startswith("job_growth"):
+    if name.startswith("abs_growth"):
         return f"round_even({name} * 100, 0) / 100 as {name}"
     return name
 

@@ -1,12 +1,10 @@
 """The growth reports (RPT3-RPT7): national, state and area, with size cohorts.
 
-Each report is one plan: slice -> fused seasonal sums (one shuffle on the group
+Each report is one lazy plan: slice -> fused seasonal sums (one shuffle on the group
 keys, partial aggregation first) -> growth windows (one shuffle on the series
-key) -> ranks (one shuffle on the rank key) -> rounding. The state and national
-reports stay fully lazy. Area reports first checkpoint the unranked report and
-measure the largest rank group (one number returns), then rank by window or by
-range-split groups. Nothing else is collected; the caller writes or displays
-the result.
+key) -> ranks -> rounding. States rank by window; areas rank in slices of their groups
+(``operators.rank``). Building a report starts no Spark job; the caller writes
+or displays the result.
 """
 
 from __future__ import annotations
@@ -16,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.operators.aggregate import combined_sums, large_area_rows, small_area_condition
+from jobtrend.operators.aggregate import combined_sums, large_area_sums, small_area_condition
 from jobtrend.operators.clean import (
     adjusted,
     national_slice,
@@ -26,7 +24,7 @@ from jobtrend.operators.clean import (
     unadjusted,
 )
 from jobtrend.operators.growth import add_growth, add_ranks, measure_columns, round_measures
-from jobtrend.operators.rank import add_ranks_checked, add_ranks_split
+from jobtrend.operators.rank import add_ranks_split
 from jobtrend.params import UNITED_STATES, ReportParams
 
 SERIES_TAIL = ("supersector_name", "industry_name")
@@ -52,7 +50,8 @@ def growth_report(
     ``series_tail + (year, Month)``.
 
     ``bounded_regions``: the regions come from a fixed list (states), so a rank
-    group is small; otherwise (areas) "auto" ranks split groups across tasks.
+    group is small and ranked by a window; areas, whose number grows with the data,
+    are ranked in slices of their groups.
     """
     series = [*region_keys, *series_tail]
     if params.scope == "table":
@@ -61,20 +60,11 @@ def growth_report(
         grown = add_growth_table(sums, [*series, *TIME_KEYS], params, params.bucket_rows)
     else:
         grown = add_growth(sums, series, params)
-    strategy = params.rank_strategy
-    if strategy == "auto":
-        strategy = "window" if bounded_regions else "checked"
-    if not any(m is not None for m in rank_methods.values()):
-        strategy = "window"
     keys, rank_keys = [*series, *TIME_KEYS], [*series_tail, *TIME_KEYS]
-    if strategy == "split":
-        ranked = add_ranks_split(grown, keys, rank_keys, region_keys, rank_methods)
-    elif strategy == "checked":
-        ranked = add_ranks_checked(
-            grown, keys, rank_keys, region_keys, rank_methods, params.max_window_group_rows
-        )
-    else:
+    if bounded_regions:
         ranked = add_ranks(grown, rank_keys, region_keys, rank_methods)
+    else:
+        ranked = add_ranks_split(grown, keys, rank_keys, region_keys, rank_methods)
     return round_measures(ranked).select(*series, *TIME_KEYS, *measure_columns())
 
 
@@ -100,7 +90,7 @@ def area_sums(
     if cohort == "all":
         return combined_sums(substate(sl), keys, unadjusted(), adjusted(), how="left")
     if cohort == "over":
-        return combined_sums(large_area_rows(sl, params), keys, F.lit(True), None)
+        return large_area_sums(sl, keys, params)
     if cohort == "under":
         small = small_area_condition(params)
         return combined_sums(sl, keys, unadjusted() & small, adjusted() & small, how="left")
@@ -117,16 +107,24 @@ def national_report(national_clean: DataFrame, params: ReportParams = ReportPara
     )
 
 
+def state_report_of(sums: DataFrame, params: ReportParams = ReportParams()) -> DataFrame:
+    """RPT4 from the state sums."""
+    return growth_report(sums, ["state_name"], params, FIRST_RANKS)
+
+
 def state_report(regional_clean: DataFrame, params: ReportParams = ReportParams()) -> DataFrame:
     """RPT4: statewide growth with ranks of the states per industry and month."""
-    return growth_report(state_sums(regional_clean, params), ["state_name"], params, FIRST_RANKS)
+    return state_report_of(state_sums(regional_clean, params), params)
+
+
+def area_report_of(sums: DataFrame, params: ReportParams = ReportParams(), cohort: str = "all") -> DataFrame:
+    """RPT5-RPT7 from the area sums."""
+    methods = FIRST_RANKS if cohort == "all" else COHORT_RANKS
+    return growth_report(sums, ["area_name"], params, methods, bounded_regions=False)
 
 
 def area_report(
     regional_clean: DataFrame, params: ReportParams = ReportParams(), cohort: str = "all"
 ) -> DataFrame:
     """RPT5-RPT7: area growth with ranks of the areas per industry and month."""
-    methods = FIRST_RANKS if cohort == "all" else COHORT_RANKS
-    return growth_report(
-        area_sums(regional_clean, params, cohort), ["area_name"], params, methods, bounded_regions=False
-    )
+    return area_report_of(area_sums(regional_clean, params, cohort), params, cohort)

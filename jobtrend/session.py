@@ -10,13 +10,14 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Broadcast joins are chosen by the planner only below this size (bytes), from
 # file statistics at planning time and from measured shuffle sizes under AQE.
-# Anything larger falls back to a shuffle join.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Anything larger falls back to a shuffle join. File sizes are of compressed
+# columns, so the estimate is scaled up before it is compared.
+BROADCAST_LIMIT_BYTES = 10 * 1024 * 1024
+FILE_COMPRESSION_FACTOR = 4.0
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -27,6 +28,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(128 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
+    "spark.sql.sources.fileCompressionFactor": str(FILE_COMPRESSION_FACTOR),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -89,13 +91,6 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the shared folder, computing it once.
-
-    Writing a checkpoint runs the plan again unless it is cached, so the rows are
-    persisted for the two jobs (compute, write) and released once the files exist.
-    """
+    """Reliable checkpoint of ``df`` in the shared folder (one job computes and writes it)."""
     ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    return df.checkpoint(eager=True)

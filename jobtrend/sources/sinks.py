@@ -10,19 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-# Targets of the reference job: two written, the others only named.
-WRITTEN_TARGETS = ("national_rankings_t", "state_rankings_t")
-NAMED_TARGETS = (
-    "national_rankings_mom",
-    "msa_rankings_t",
-    "sm_table_final_v3",
-    "sm_table_final_v2",
-    "msa_rankings_over_mom",
-    "msa_rankings_under_mom",
-    "msa_rankings_under",
-    "msa_rankings_over",
-)
-
 
 def with_table_index(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:
     """WIN7 for a sink: the 0-based position of each row in table order.
@@ -72,5 +59,3 @@ def write_report(
 def write_csv(df: DataFrame, path: str) -> None:
     """SNK3: CSV export without an index column."""
     write_report(df, path, fmt="csv")
-
-

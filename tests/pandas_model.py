@@ -31,7 +31,7 @@ def growth_frame(df: pd.DataFrame, ytd_months: int = 5) -> pd.DataFrame:
                            ("_ann", "value_ann_avg", 12), ("", "value", 12)):
         pct = change(out[src], k)
         out[f"pct_change{suffix}"] = pct
-        out[f"job_growth{suffix}"] = out[src].shift(k) * pct
+        out[f"abs_growth{suffix}"] = out[src].shift(k) * pct
     return out
 
 
@@ -49,5 +49,5 @@ def round_report(df: pd.DataFrame) -> pd.DataFrame:
     out = df.copy()
     for suffix in ("_mom", "_ytd", "_ann", ""):
         out[f"pct_change{suffix}"] = np.round(out[f"pct_change{suffix}"] * 100, 2)
-        out[f"job_growth{suffix}"] = np.round(out[f"job_growth{suffix}"], 2)
+        out[f"abs_growth{suffix}"] = np.round(out[f"abs_growth{suffix}"], 2)
     return out

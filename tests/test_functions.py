@@ -61,6 +61,11 @@ def test_to_double_turns_bad_text_into_null(spark):
     assert got == [12.5, 3.0, None, None, None, None, None, 1000.0]
 
 
+def test_to_double_takes_plain_decimals_only(spark):
+    texts = ["1d", "12f", "0x1p3", "Infinity", "-inf", "1e999", "+.5", "-7.", "2E-3"]
+    assert one_col(spark, texts, to_double) == [None] * 6 + [0.5, -7.0, 0.002]
+
+
 def test_nan_to_null(spark):
     assert one_col(spark, [float("nan"), 1.5, None], nan_to_null, "double") == [None, 1.5, None]
 

@@ -185,12 +185,49 @@ def test_run_job_end_to_end(spark, scratch):
     last = state[-1]
     # 12-month change of the unadjusted value: December 2015 (124) over December 2014 (112)
     assert last.pct_change == round((124.0 / 112.0 - 1) * 100, 2)
-    assert last.job_growth == 12.0
+    assert last.abs_growth == 12.0
     assert last["rank"] == 1.0
     national = spark.read.parquet(written["national_rankings_t"]).collect()
     assert len(national) == 12 and {r.state_name for r in national} == {"United States"}
 
 
+def test_run_job_writes_the_other_targets_when_one_fails(spark, scratch, monkeypatch):
+    """D12: a failing area report leaves the others written, and the regional fact is read once."""
+    import pytest
+
+    from jobtrend.plans import job
+
+    sm = os.path.join(scratch, "sm.txt")
+    write_text(sm, HEADER + "".join(f"SMU01   \t2015\tM{m:02d}\t {m}\t\n" for m in range(1, 13)))
+    paths = _write_regional_codes(spark, scratch)
+    ce = os.path.join(scratch, "ce.txt")
+    write_text(ce, HEADER + "CEU1\t2015\tM01\t1\t\n")
+    for name, cols in (("ce_series", "series_id string, industry_code string, supersector_code string, data_type_code string, seasonal string"),
+                       ("ce_industry", "industry_code string, industry_name string"),
+                       ("ce_supersector", "supersector_code string, supersector_name string")):
+        paths[name] = os.path.join(scratch, "codes", name)
+        spark.createDataFrame([], cols).write.mode("overwrite").parquet(paths[name])
+    cubes = []
+    whole, areas = job.regional_cube, job.area_sums_of
+    monkeypatch.setattr(job, "regional_cube", lambda *a: cubes.append(1) or whole(*a))
+
+    def broken(cube, params, cohort):
+        if cohort == "over":
+            raise RuntimeError("no over cohort today")
+        return areas(cube, params, cohort)
+
+    monkeypatch.setattr(job, "area_sums_of", broken)
+    with pytest.raises(job.JobFailed) as failed:
+        job.run_job(spark, sm, [ce], os.path.join(scratch, "out"), "parquet", paths, areas=True, frames=True)
+    assert set(failed.value.failed) == {"msa_rankings_over"}
+    assert set(failed.value.written) == {
+        "national_rankings_t", "state_rankings_t", "msa_rankings_t", "msa_rankings_under", "national_rankings_mom",
+        "sm_table_final_v3", "sm_table_final_v2", "msa_rankings_over_mom", "msa_rankings_under_mom"}
+    for path in failed.value.written.values():
+        spark.read.parquet(path).count()
+    assert len(cubes) == 1
+
+
 def test_checkpoint_folder_required_on_a_cluster():
     """Without spark.checkpoint.dir a cluster session is refused a local folder."""
     import pytest

@@ -115,7 +115,7 @@ def make_series(seed: int, n_series: int = 3, null_rate: float = 0.15, zero_rate
 
 
 SUMS_SCHEMA = "region string, series string, year string, Month string, value double, value_mom double"
-MEASURES = [f"{p}{s}" for s in ("_mom", "_ytd", "_ann", "") for p in ("pct_change", "job_growth")] + [
+MEASURES = [f"{p}{s}" for s in ("_mom", "_ytd", "_ann", "") for p in ("pct_change", "abs_growth")] + [
     "value_ytd_avg", "value_ann_avg"]
 
 
@@ -162,7 +162,20 @@ def test_calendar_lag_uses_months_not_rows(spark):
     assert rowwise[("2011", "02")].pct_change == 100.0 / 1.0 - 1
     # by months, the base is February 2010
     assert cal[("2011", "02")].pct_change == 100.0 / 2.0 - 1
-    assert cal[("2011", "02")].pct_change_mom is None or cal[("2011", "02")].job_growth_mom is None
+    assert cal[("2011", "02")].pct_change_mom is None
+    assert cal[("2011", "02")].abs_growth_mom is None
+
+
+def test_calendar_base_is_never_an_older_month(spark):
+    """Without 2011-02, 2012-02 has no change, no growth and no rank."""
+    rows = [("R", "S", str(y), f"{m:02d}", float(100 + m + y), 1.0) for y in (2011, 2012) for m in range(1, 13) if (y, m) != (2011, 2)]
+    df = add_growth(spark.createDataFrame(rows, SUMS_SCHEMA), ["region", "series"], ReportParams(calendar=True))
+    got = {(r.year, r.Month): r for r in add_ranks(df, ["series", "year", "Month"], ["region"], {}).collect()}
+    gap = got[("2012", "02")]
+    assert gap.pct_change is None and gap.abs_growth is None and gap["rank"] is None
+    assert got[("2011", "03")].pct_change_mom is None
+    assert got[("2012", "03")].pct_change == (100 + 3 + 2012) / (100 + 3 + 2011) - 1
+    assert got[("2012", "03")]["rank"] == 1.0
 
 
 def test_calendar_ytd_mean(spark):
@@ -220,7 +233,7 @@ def test_round_measures_rounds_after_ranking(spark):
     rows = [("S", "01", "a", 0.123456), ("S", "01", "b", 0.123459)]
     df = spark.createDataFrame(rows, "ss string, Month string, region string, pct_change double")
     df = df.select("*", *[F.col("pct_change").alias(f"pct_change{s}") for s in ("_mom", "_ytd", "_ann")],
-                   *[F.lit(None).cast("double").alias(f"job_growth{s}") for s in ("_mom", "_ytd", "_ann", "")])
+                   *[F.lit(None).cast("double").alias(f"abs_growth{s}") for s in ("_mom", "_ytd", "_ann", "")])
     got = {r.region: (r["rank"], r.pct_change) for r in round_measures(add_ranks(df, ["ss", "Month"], ["region"], {})).collect()}
     # equal after rounding, still ordered by the unrounded change
     assert got == {"a": (2.0, 12.35), "b": (1.0, 12.35)}
@@ -231,8 +244,6 @@ def test_params_validate():
         ReportParams(scope="everything")
     with pytest.raises(ValueError):
         ReportParams(ytd_mode="fiscal")
-    with pytest.raises(ValueError):
-        ReportParams(rank_strategy="sometimes")
     with pytest.raises(ValueError):
         ReportParams(bucket_rows=0)
     with pytest.raises(ValueError):
@@ -258,35 +269,81 @@ def test_split_ranks_equal_window_ranks(spark, seed):
     want = {(r.Month, r.region): tuple(r[f"rank{s}"] for s in ("_mom", "_ytd", "_ann", ""))
             for r in add_ranks(df, ["ss", "Month"], ["region"], methods).collect()}
     got = {(r.Month, r.region): tuple(r[f"rank{s}"] for s in ("_mom", "_ytd", "_ann", ""))
-           for r in add_ranks_split(df, ["ss", "Month", "region"], ["ss", "Month"], ["region"], methods,
-                                    partitions=7).collect()}
+           for r in add_ranks_split(df, ["ss", "Month", "region"], ["ss", "Month"], ["region"], methods).collect()}
     assert got == want
 
 
-def test_checked_ranks_pick_split_beyond_the_bound(spark):
-    from jobtrend.operators.growth import add_ranks
-    from jobtrend.operators.rank import add_ranks_checked
+def test_slices_keep_the_order_of_changes(spark):
+    from jobtrend.operators.rank import slice_of
+
+    rnd = random.Random(5)
+    values = [0.0, -0.0, 5e-324, -5e-324, 1e308, -1e308] + [rnd.choice([-1, 1]) * 10 ** rnd.uniform(-9, 4) for _ in range(3000)]
+    got = spark.createDataFrame([(v,) for v in values], "x double").select("x", slice_of(F.col("x")).alias("s")).collect()
+    ordered = sorted(got, key=lambda r: r.x)
+    assert all(a.s <= b.s for a, b in zip(ordered, ordered[1:]))
+    assert len({r.s for r in got}) > 300
+
+
+def test_a_hot_rank_group_spreads_over_tasks(spark):
+    """One group of 4,000 regions: ranks equal the window's, and no task ranks most of its rows."""
+    from jobtrend.operators.rank import add_ranks_split
+
+    rnd = random.Random(9)
+    rows = [("S", "01", f"{rnd.choice('abcdefgh')}{rnd.choice('klmn')}{rnd.choice('wxyz')}{i:05d}", 0.0 if i % 3 == 0 else rnd.gauss(0.02, 0.05)) for i in range(4000)]
+    base = spark.createDataFrame(rows, "ss string, Month string, region string, pct_change double")
+    df = base.select("*", *[F.col("pct_change").alias(f"pct_change{s}") for s in ("_mom", "_ytd", "_ann")])
+    methods = {"_mom": "average"}
+    want = {r.region: (r["rank"], r.rank_mom) for r in add_ranks(df, ["ss", "Month"], ["region"], methods).collect()}
+    split = add_ranks_split(df, ["ss", "Month", "region"], ["ss", "Month"], ["region"], methods)
+    assert {r.region: (r["rank"], r.rank_mom) for r in split.collect()} == want
+    from jobtrend.operators.rank import TIE_PREFIX, slice_of
 
-    rows = [("S", "01", f"r{i:03d}", float(i % 7), float(i % 5), float(i % 3), float(i % 11)) for i in range(60)]
+    places = df.groupBy("ss", "Month", slice_of(F.col("pct_change")).alias("s"), "pct_change", F.substring("region", 1, TIE_PREFIX).alias("p")).count()
+    sizes = [r["count"] for r in places.collect()]
+    assert max(sizes) < 100 and len(sizes) > 500
+
+
+def test_membership_counts_rows_with_a_null_key(spark):
+    """An area that is large only through a row without a month is a member; that row is not summed."""
+    from jobtrend.operators.aggregate import large_area_sums
+
+    p = ReportParams(anchor_industry="Total Nonfarm", threshold=1000.0)
+    rows = [
+        ("A1", "S", "Total Nonfarm", "2015", None, 1500.0, "S"),
+        ("A1", "S", "Mining", "2015", "01", 3.0, "S"),
+        ("A2", "S", "Total Nonfarm", "2015", "01", 1000.0, "S"),
+        ("Statewide", "S", "Total Nonfarm", "2015", "01", 5000.0, "S"),
+        ("A3", "S", "Total Nonfarm", "2015", "01", 5000.0, "U"),
+    ]
     df = spark.createDataFrame(
-        rows, "ss string, Month string, region string, pct_change_mom double, pct_change_ytd double, "
-              "pct_change_ann double, pct_change double")
-    want = sorted(tuple(r) for r in add_ranks(df, ["ss", "Month"], ["region"], {"_mom": "average"}).collect())
-    for bound in (10, 1000):  # 60 rows in the group: split first, window second
-        got = add_ranks_checked(df, ["ss", "Month", "region"], ["ss", "Month"], ["region"], {"_mom": "average"}, bound)
-        assert sorted(tuple(r) for r in got.select(*df.columns, "rank_mom", "rank_ytd", "rank_ann", "rank").collect()) == want
+        rows, "area_name string, supersector_name string, industry_name string, year string, Month string, value double, seasonal string")
+    keys = ["area_name", "supersector_name", "industry_name", "year", "Month"]
+    got = [(r.area_name, r.industry_name, r.value, r.value_mom) for r in large_area_sums(df, keys, p).collect()]
+    assert got == [("A1", "Mining", 3.0, 3.0)]
+
+
+def test_national_data_type_filter(spark):
+    """D8: without a code the national slice mixes data types; with one it keeps that type."""
+    from jobtrend.operators.clean import clean_national, national_slice
+
+    rows = [("S", "I", "M01", "2015", "1", "01", "U"), ("S", "I", "M01", "2015", "7", "06", "U")]
+    df = clean_national(spark.createDataFrame(
+        rows, "supersector_name string, industry_name string, period string, year string, value string, data_type_code string, seasonal string"))
+    assert national_slice(df).count() == 2
+    assert [r.value for r in national_slice(df, ReportParams(data_type_code="06")).collect()] == [7.0]
 
 
-def test_state_report_checked_ranks_equal_window_ranks(spark):
+def test_sums_from_the_cube_equal_sums_of_rows(spark):
     from jobtrend.plans.catalog import regional_clean_df
-    from jobtrend.plans.reports import state_report
+    from jobtrend.plans.frames import area_sums_of, regional_cube, state_sums_of
+    from jobtrend.plans.reports import area_sums, state_sums
     from jobtrend.sources.fixture import FIXTURE_PARAMS
 
     from tests.conftest import SF_SMALL
 
     clean = regional_clean_df(spark, SF_SMALL)
-    window = state_report(clean, FIXTURE_PARAMS)
-    for strategy, bound in (("checked", 1), ("checked", 10**6), ("split", 10**6)):
-        other = state_report(clean, FIXTURE_PARAMS.with_(rank_strategy=strategy, max_window_group_rows=bound))
-        assert window.exceptAll(other.select(*window.columns)).count() == 0
-        assert other.count() == window.count()
+    cube = regional_cube(clean, FIXTURE_PARAMS)
+    pairs = [(state_sums(clean, FIXTURE_PARAMS), state_sums_of(cube))]
+    pairs += [(area_sums(clean, FIXTURE_PARAMS, c), area_sums_of(cube, FIXTURE_PARAMS, c)) for c in ("all", "over", "under")]
+    for direct, derived in pairs:
+        assert sorted(map(tuple, direct.collect()), key=str) == sorted(map(tuple, derived.select(*direct.columns).collect()), key=str)
