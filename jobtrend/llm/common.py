@@ -9,7 +9,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtrend.session import ensure_checkpoint_dir
@@ -50,6 +50,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """The columns of ``df`` (or some of them) as one struct, whatever they are called."""
+    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in columns or df.columns))
+
+
 def process_cache() -> dict:
     """A dictionary that lives as long as the Python worker process."""
     module = sys.modules.setdefault("_jobtrend_worker_cache", types.ModuleType("_jobtrend_worker_cache"))

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import Words
+from jobtrend.llm.common import Words, whole_row
 
 WINDOW = 13
 #: A document is contaminated if 1 of so many words, or more, is hit.
@@ -124,7 +124,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     known = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).where("item is not null and text is not null")
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    out = docs.select(F.struct(*docs.columns).alias("row"), F.lit(None).cast(f"struct<{FOUND.replace(' ', ':').replace(',:', ',')}>").alias("found"))
+    out = docs.select(whole_row(docs).alias("row"), F.lit(None).cast(f"struct<{FOUND.replace(' ', ':').replace(',:', ',')}>").alias("found"))
     schema = out.schema
     for b in range(blocks):
         part = known.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)

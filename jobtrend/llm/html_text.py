@@ -31,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobtrend.llm.common import whole_row
+
 TRAIN_PAGES = 500
 TREES, DEPTH, BINS, SHRINKAGE = 60, 4, 32, 0.2
 #: What a change between outside, inside and cut out costs, in units of a logit.
@@ -421,7 +423,7 @@ def train(pages: int = TRAIN_PAGES, seed: int = 11) -> Trees:
 def extract(pages: DataFrame, source: str = "html", keep: list[str] | None = None, model: Trees | None = None) -> DataFrame:
     """``row`` (the columns to keep) and ``found`` (text, n_chars)."""
     held = pages.sparkSession.sparkContext.broadcast(model or train())
-    given = pages.select(F.struct(*(keep or pages.columns)).alias("row"), F.col(source).cast("string").alias("html"))
+    given = pages.select(whole_row(pages, keep).alias("row"), F.col(source).cast("string").alias("html"))
     schema = given.select("row", F.lit(None).cast("struct<text:string,n_chars:bigint>").alias("found")).schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

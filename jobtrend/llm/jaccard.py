@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import Words, mix64, row_identity, written
+from jobtrend.llm.common import Words, mix64, row_identity, whole_row, written
 from jobtrend.llm.graph import components, in_blocks, map_whole_groups, roots
 
 SHINGLE = 5
@@ -187,7 +187,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     joined = join(docs, doc_id, text)
     gone = joined.where("not stays").select(F.col("identity").alias("_gone")).distinct()
-    packed = docs.select(F.struct(*docs.columns).alias("row"), row_identity(doc_id, text).alias("_own"))
+    packed = docs.select(whole_row(docs).alias("row"), row_identity(doc_id, text).alias("_own"))
     left = packed.join(gone, packed["_own"] == gone["_gone"], "left_anti")
     if joined.where("stays").groupBy("identity").count().where("count > 1").limit(1).count():
         left = left.groupBy("_own").agg(F.first("row").alias("row"))

@@ -27,7 +27,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import written
+from jobtrend.llm.common import whole_row, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns of the contract, with possessive quantifiers where they change nothing.
@@ -149,7 +149,7 @@ def candidates(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
     """``row`` (the columns to keep) and ``spans``: all candidates with votes and shape."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     patterns = BASE | {"wide": WIDE}
-    found = docs.select(F.struct(*(keep or docs.columns)).alias("row"), body.alias("body"), *(F.regexp_extract_all(body, F.lit(p), F.lit(0)).alias(f"m_{k}") for k, p in patterns.items()))
+    found = docs.select(whole_row(docs, keep).alias("row"), body.alias("body"), *(F.regexp_extract_all(body, F.lit(p), F.lit(0)).alias(f"m_{k}") for k, p in patterns.items()))
     parted = found.select("row", *(f"m_{k}" for k in patterns), *(F.when(F.size(f"m_{k}") > 0, F.split("body", p, -1)).alias(f"g_{k}") for k, p in patterns.items()))
     placed = parted.select("row", *(_spans(F.col(f"m_{k}"), F.col(f"g_{k}")).alias(f"s_{k}") for k in patterns))
     is_email, is_ip = (lambda s: s["text"].rlike("[(\\[]at[)\\]]")), (lambda s: s["text"].rlike("^[0-9A-Fa-f:]+$"))

@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from jobtrend.llm.common import _powers, mix64, process_cache, utf8_buffer, written
+from jobtrend.llm.common import _powers, mix64, process_cache, utf8_buffer, whole_row, written
 from jobtrend.llm.graph import map_whole_groups
 from jobtrend.llm.suffix_array import suffix_arrays
 
@@ -80,7 +81,7 @@ def pieces(data: np.ndarray, keys_only: bool = False) -> tuple[np.ndarray, ...]:
     n = len(data) - LENGTH + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
-    if len(data) > SLICE:  # windows are dealt out to slices; a piece may end at the edge of one
+    if n > SLICE:  # windows are dealt out to slices; a piece may end at the edge of one
         parts = [pieces(data[a : a + SLICE + LENGTH - 1], keys_only) for a in range(0, n, SLICE)]
         starts = [p[0] + k * SLICE for k, p in enumerate(parts)]
         return (np.concatenate(starts), *(np.concatenate([p[k] for p in parts]) for k in (1, 2, 3)))
@@ -265,10 +266,9 @@ def merged(ranges: list) -> list[tuple[int, int]]:
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, keep_bytes: bool = False) -> DataFrame:
     """``row`` (the columns to keep) and ``found``: n_bytes, n_removed, n_spans, kept_sha256, spans, kept (bytes, if asked for)."""
     ranges = written(spans(docs, doc_id, text).groupBy("own", "mark").agg(F.collect_set(F.struct("start", "end")).alias("ranges")), "spans")
-    row = F.struct(*(keep or docs.columns)).alias("row")
-    packed = docs.select(row, *row_key(doc_id, text), F.col(text).cast("string").alias("text"))
-    row_type = packed.schema["row"].dataType.simpleString()
-    packed = packed.mapInArrow(_packed, f"row {row_type}, own long, mark int, body binary")
+    packed = docs.select(whole_row(docs, keep).alias("row"), *row_key(doc_id, text), F.col(text).cast("string").alias("text"))
+    kind = StructType([*packed.schema.fields[:3], StructField("body", BinaryType())])
+    packed = packed.mapInArrow(_packed, kind)
     joined = packed.join(ranges, ["own", "mark"], "left").select("row", "body", "ranges")
     found = "struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string,spans:array<struct<start:bigint,end:bigint>>,kept:binary>"
     schema = joined.select("row", F.lit(None).cast(found).alias("found")).schema

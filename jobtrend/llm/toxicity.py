@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import Words, mix64, spread
+from jobtrend.llm.common import Words, mix64, spread, whole_row
 
 #: Rows of each class that a fit uses at most.
 TRAIN_ROWS = 4000
@@ -275,7 +275,7 @@ def _slices(buckets: np.ndarray, counts: np.ndarray, size: int = 256) -> Iterato
 def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``row`` (the columns to keep) and ``found`` (held_out, score, predicted)."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    given = docs.select(F.struct(*(keep or docs.columns)).alias("row"), held_out(F.col(doc_id)).alias("held_out"), F.col(text).cast("string").alias("text"))
+    given = docs.select(whole_row(docs, keep).alias("row"), held_out(F.col(doc_id)).alias("held_out"), F.col(text).cast("string").alias("text"))
     out = given.select("row", F.lit(None).cast("struct<held_out:boolean,score:double,predicted:int>").alias("found")).schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobtrend.llm.common import whole_row
+
 #: The rules that the contract states.
 RULES = [
     ("allow", "org", "/"),
@@ -71,7 +73,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = D
     # one row: the shapes that rules have, at most (labels of a host) x (lengths of a path)
     shapes = known.agg(F.collect_set(F.struct("labels", "path_length")).alias("shapes"))
     split = pages.select(
-        F.monotonically_increasing_id().alias("row_id"), F.struct(*pages.columns).alias("row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
+        F.monotonically_increasing_id().alias("row_id"), whole_row(pages).alias("row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
     )
     labels = F.split("host", r"\.")
     fitting = F.filter("shapes", lambda s: (s["labels"] <= F.size(labels)) & (s["path_length"] <= F.length("path")))
