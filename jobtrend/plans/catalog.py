@@ -6,7 +6,6 @@ runs over all of their rows.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,7 +25,7 @@ from jobtrend.operators.clean import (
 from jobtrend.operators.growth import measure_columns
 from jobtrend.params import STATEWIDE
 from jobtrend.plans import oracle as O
-from jobtrend.session import ensure_checkpoint_dir
+from jobtrend.session import shared_folder
 from jobtrend.plans.facts import (
     national_fact,
     national_fact_from_files,
@@ -431,12 +430,6 @@ def q_table_scope_national(spark, sf_dir):
 # --- round trips through files in the shared folder ------------------------------------
 
 
-def shared_scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/jobtrend-roundtrip/{name}-{uuid.uuid4().hex}"
-
-
 _SM_ID_SQL = (
     "rpad(concat_ws('_', 'SM', " + O.SEASONAL_SQL + ", cast(l_suppkey as varchar), "
     "cast(l_partkey as varchar), l_returnflag), 30, ' ')"
@@ -452,7 +445,7 @@ def q_tsv_scan(spark, sf_dir):
     """SRC1: observations written as a tab-separated file with padded fields,
     read back with the given schema and the regional strip rule. An empty field
     reads as NULL (missing), as a table reader reads it."""
-    path = shared_scratch(spark, "sm-observations")
+    path = shared_folder(spark, "sm-observations")
     write_observations(regional_observations(spark, sf_dir), path)
     return read_observations(spark, path)
 
@@ -467,7 +460,7 @@ _STATE_KEYS = "state_name, supersector_name, industry_name, year, Month"
 def q_write_report(spark, sf_dir):
     """SNK1: the state report replaces a table (parquet here), written with its
     table-order index like the reference's table writes, then read back."""
-    path = shared_scratch(spark, "state_rankings_t")
+    path = shared_folder(spark, "state_rankings_t")
     report = state_report(regional_clean_df(spark, sf_dir), FIXTURE_PARAMS)
     write_report(report, path, fmt="parquet", with_index=_STATE_KEYS.split(", "))
     return spark.read.parquet(path)
@@ -480,7 +473,7 @@ def q_write_report(spark, sf_dir):
 def q_sorted_report(spark, sf_dir):
     """ORD1: the state report written in key order; ``position`` is where a row stands in
     the files taken in order (part number, then row of the part)."""
-    path = shared_scratch(spark, "sorted_report")
+    path = shared_folder(spark, "sorted_report")
     write_report(state_report(regional_clean_df(spark, sf_dir), FIXTURE_PARAMS), path, sort_by=_STATE_KEYS.split(", "))
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     rows = spark.read.parquet(path).select("*", name.alias("_file"), F.col("_metadata.row_index").alias("_row"))
@@ -496,7 +489,7 @@ def q_sorted_report(spark, sf_dir):
 def q_write_csv(spark, sf_dir):
     """SNK3: the national report as CSV, read back with the report's types; its ranks are
     empty fields (NULL)."""
-    path = shared_scratch(spark, "national_csv")
+    path = shared_folder(spark, "national_csv")
     report = national_report(national_clean_df(spark, sf_dir), FIXTURE_PARAMS)
     write_csv(report, path)
     return spark.read.schema(report.schema).option("header", True).csv(path)
@@ -508,7 +501,7 @@ def _supersector_files(spark, sf_dir, observations, name):
     flag = F.col("l_returnflag")
     paths = []
     for k, cond in enumerate((flag == "A", flag == "N", ~flag.isin("A", "N") | flag.isNull())):
-        path = shared_scratch(spark, f"{name}-{k}")
+        path = shared_folder(spark, f"{name}-{k}")
         write_observations(observations(spark, sf_dir, lineitem=li.where(cond)), path)
         paths.append(path)
     return paths
@@ -531,7 +524,7 @@ def q_national_tsv_scan(spark, sf_dir):
 def _code_files(spark, tables, fmt):
     paths = {}
     for name, df in tables.items():
-        paths[name] = shared_scratch(spark, name)
+        paths[name] = shared_folder(spark, name)
         writer = df.write.format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True).option("sep", "\t").option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -542,7 +535,7 @@ def _code_files(spark, tables, fmt):
 @register("regional_fact_from_files", O.with_ctes([], "select * from regional_clean"))
 def q_regional_fact_from_files(spark, sf_dir):
     """RPT1 + SRC1 + SRC3 (parquet): the regional fact from an observation file and code tables."""
-    path = shared_scratch(spark, "sm-data")
+    path = shared_folder(spark, "sm-data")
     write_observations(regional_observations(spark, sf_dir), path)
     codes = _code_files(spark, regional_code_tables(spark, sf_dir), "parquet")
     return regional_fact_from_files(spark, path, "parquet", codes, params=FIXTURE_PARAMS)

@@ -7,8 +7,11 @@ splitting), a size-checked broadcast threshold, UTC time and no web UI.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,10 +89,36 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
                 "split ranks checkpoint there"
             )
         configured = fallback or tempfile.mkdtemp(prefix="jobtrend-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        _remove_at_exit(spark, f"file:{configured}")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_TO_REMOVE: list[tuple[SparkSession, str]] = []
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name below ``spark.checkpoint.dir``; removed when the driver exits."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _remove_at_exit(spark, path)
+    return path
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    if not _TO_REMOVE:
+        atexit.register(_remove_folders)
+    _TO_REMOVE.append((spark, path))
+
+
+def _remove_folders() -> None:
+    for spark, path in _TO_REMOVE:
+        if path.startswith("file:"):
+            shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
+        elif spark.sparkContext._jsc is not None:  # not stopped
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df`` in the shared folder (one job computes and writes it)."""
     ensure_checkpoint_dir(df.sparkSession)

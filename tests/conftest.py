@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,16 +14,16 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from jobtrend.session import build_session, ensure_checkpoint_dir
 
     s = build_session("local[*]", app_name="jobtrend-tests", shuffle_partitions=8)
     # tests only: a checkpoint folder of their own when the session names none
-    ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="jobtrend-test-ckpt-"))
+    ensure_checkpoint_dir(s, str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()
 
 
 @pytest.fixture
-def scratch():
-    return tempfile.mkdtemp(prefix="jobtrend-test-")
+def scratch(tmp_path):
+    return str(tmp_path)
