@@ -70,18 +70,18 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = D
         .withColumn("rule_digest", _digest(F.col("rule")))
         .withColumn("rule_prefix", F.substring("rule_digest", 1, PREFIX_BYTES))
     )
-    # one row: the shapes that rules have, at most (labels of a host) x (lengths of a path)
-    shapes = known.agg(F.collect_set(F.struct("labels", "path_length")).alias("shapes"))
+    # one value: the shapes that rules have, at most (labels of a host) x (lengths of a path)
+    shapes = known.agg(F.collect_set(F.struct("labels", "path_length")).alias("shapes")).scalar()
     split = pages.select(
         F.monotonically_increasing_id().alias("row_id"), whole_row(pages).alias("row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
     )
     labels = F.split("host", r"\.")
-    fitting = F.filter("shapes", lambda s: (s["labels"] <= F.size(labels)) & (s["path_length"] <= F.length("path")))
+    fitting = F.filter(F.col("shapes"), lambda s: (s["labels"] <= F.size(labels)) & (s["path_length"] <= F.length("path")))
     expression = lambda s: F.concat(
         F.array_join(F.slice(labels, F.size(labels) - s["labels"] + 1, s["labels"]), "."), F.substring(F.col("path"), F.lit(1), s["path_length"])
     )
     asked = (
-        split.crossJoin(F.broadcast(shapes))
+        split.withColumn("shapes", shapes)
         .withColumn("digest", F.explode_outer(F.transform(fitting, lambda s: _digest(expression(s)))))
         .withColumn("prefix", F.substring("digest", 1, PREFIX_BYTES))
         .drop("shapes")
