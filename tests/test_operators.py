@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobtrend.operators.aggregate import combined_sums, large_area_rows, small_area_condition
+from jobtrend.operators import table_scope
 from jobtrend.operators.clean import adjusted, clean_regional, regional_slice, unadjusted
 from jobtrend.operators.growth import add_growth, add_ranks, round_measures
 from jobtrend.operators.table_scope import add_growth_table, with_position
@@ -133,8 +134,9 @@ def test_series_growth_matches_pandas_model(spark, seed):
             assert rows_equal(a, b, 1e-9), (c, a, b)
 
 
-@pytest.mark.parametrize("seed,bucket", [(4, 13), (5, 40), (6, 1000)])
-def test_table_scope_matches_pandas_model(spark, seed, bucket):
+@pytest.mark.parametrize("seed,bucket,run", [(4, 13, 2), (4, 13, 1024), (5, 40, 1), (6, 1000, 1024)])
+def test_table_scope_matches_pandas_model(spark, monkeypatch, seed, bucket, run):
+    monkeypatch.setattr(table_scope, "RUN_BUCKETS", run)
     rows = make_series(seed, n_series=4, null_rate=0.3)
     df = spark.createDataFrame(rows, SUMS_SCHEMA)
     order = ["region", "series", "year", "Month"]
