@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,20 @@ def utf8_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: Callable[[pa.RecordBatch], pa.Array], rows: int = 256, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches with at most ``rows`` rows and about ``size`` bytes of text (one row at least)."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(text(batch)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at] - lengths[at]
+            to = int(np.searchsorted(ends, before + size, side="right"))
+            to = min(max(to, at + 1), at + rows, batch.num_rows)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For groups of the given sizes: each member's group, and its place in the group."""
     owner = np.repeat(np.arange(len(counts)), counts)
@@ -75,8 +91,12 @@ _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 2**64)
 
 
+#: Powers that a worker keeps for each base (8 bytes each).
+KEPT_POWERS = 1 << 21
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, grown by doubling and kept for the process."""
+    """base**0 .. base**(n-1) modulo 2**64, grown by doubling; up to KEPT_POWERS are kept for the process."""
     kept = process_cache()
     have = kept.get(("powers", base))
     if have is None or len(have) < n:
@@ -87,7 +107,8 @@ def _powers(base: int, n: int) -> np.ndarray:
             step = np.uint64(pow(base, filled, 2**64))
             have[filled : 2 * filled] = have[:filled] * step
             filled *= 2
-        kept[("powers", base)] = have
+        if size <= KEPT_POWERS:
+            kept[("powers", base)] = have
     return have[:n]
 
 

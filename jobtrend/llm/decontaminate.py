@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import Words, whole_row
+from jobtrend.llm.common import Words, slices, whole_row
 
 WINDOW = 13
 #: A document is contaminated if 1 of so many words, or more, is hit.
@@ -131,31 +131,30 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
         held = spark.sparkContext.broadcast(searches([tuple(x) for x in part.distinct().collect()], window))
 
         def task(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for i in range(0, whole.num_rows, 512):
-                    batch = whole.slice(i, 512)
-                    row, before = batch.column("row"), batch.column("found")
-                    words = Words(pc.struct_field(row, text).cast(pa.string()))
-                    hits = np.zeros(len(words.hash), bool)
-                    items: list[set[str]] = [set() for _ in range(batch.num_rows)]
-                    for k, x in enumerate(before.to_pylist()):
-                        if x is not None:
-                            n, a = int(words.counts[k]), int(words.first[k])
-                            hits[a : a + n] = np.unpackbits(np.frombuffer(x["hits"], np.uint8), count=n).astype(bool)
-                            items[k].update(x["items"])
-                    _marks(words, held.value, hits, items)
-                    n_hit = np.bincount(words.doc, hits, words.n_docs).astype(np.int64) if len(hits) else np.zeros(words.n_docs, np.int64)
-                    values = [
-                        {
-                            "n_words": int(n),
-                            "n_hit": int(h),
-                            "items": sorted(names),
-                            "contaminated": bool(h and SHARE * h >= n),
-                            "hits": np.packbits(hits[a : a + n]).tobytes(),
-                        }
-                        for n, h, a, names in zip(words.counts, n_hit, words.first, items)
-                    ]
-                    yield pa.RecordBatch.from_arrays([row, pa.array(values, before.type)], names=["row", "found"])
+            own_text = lambda batch: pc.struct_field(batch.column("row"), text).cast(pa.string())
+            for batch in slices(batches, own_text):
+                row, before = batch.column("row"), batch.column("found")
+                words = Words(own_text(batch))
+                hits = np.zeros(len(words.hash), bool)
+                items: list[set[str]] = [set() for _ in range(batch.num_rows)]
+                for k, x in enumerate(before.to_pylist()):
+                    if x is not None:
+                        n, a = int(words.counts[k]), int(words.first[k])
+                        hits[a : a + n] = np.unpackbits(np.frombuffer(x["hits"], np.uint8), count=n).astype(bool)
+                        items[k].update(x["items"])
+                _marks(words, held.value, hits, items)
+                n_hit = np.bincount(words.doc, hits, words.n_docs).astype(np.int64) if len(hits) else np.zeros(words.n_docs, np.int64)
+                values = [
+                    {
+                        "n_words": int(n),
+                        "n_hit": int(h),
+                        "items": sorted(names),
+                        "contaminated": bool(h and SHARE * h >= n),
+                        "hits": np.packbits(hits[a : a + n]).tobytes(),
+                    }
+                    for n, h, a, names in zip(words.counts, n_hit, words.first, items)
+                ]
+                yield pa.RecordBatch.from_arrays([row, pa.array(values, before.type)], names=["row", "found"])
 
         out = out.mapInArrow(task, schema)
     return out

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import whole_row
+from jobtrend.llm.common import slices, whole_row
 
 TRAIN_PAGES = 500
 TREES, DEPTH, BINS, SHRINKAGE = 60, 4, 32, 0.2
@@ -427,24 +427,22 @@ def extract(pages: DataFrame, source: str = "html", keep: list[str] | None = Non
     schema = given.select("row", F.lit(None).cast("struct<text:string,n_chars:bigint>").alias("found")).schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(0, whole.num_rows, 128):
-                batch = whole.slice(i, 128)
-                parsed = [Page(x) if x else None for x in batch.column("html").to_pylist()]
-                own = [p.features() for p in parsed if p]
-                logits = held.value.logits(np.concatenate(own)) if own else None
-                texts, at = [], 0
-                for p in parsed:
-                    if p is None:
-                        texts.append("")
-                        continue
-                    n = len(p.tag)
-                    # text without any block around it has nothing to be told apart from
-                    keep = p.decode(logits[at : at + n]) if n > 1 else np.ones(1, bool)
-                    texts.append(p.text(keep))
-                    at += n
-                text = pa.array(texts, pa.string())
-                found = pa.StructArray.from_arrays([text, pc.utf8_length(text).cast(pa.int64())], names=["text", "n_chars"])
-                yield pa.RecordBatch.from_arrays([batch.column("row"), found], names=["row", "found"])
+        for batch in slices(batches, lambda x: x.column("html"), 128):
+            parsed = [Page(x) if x else None for x in batch.column("html").to_pylist()]
+            own = [p.features() for p in parsed if p]
+            logits = held.value.logits(np.concatenate(own)) if own else None
+            texts, at = [], 0
+            for p in parsed:
+                if p is None:
+                    texts.append("")
+                    continue
+                n = len(p.tag)
+                # text without any block around it has nothing to be told apart from
+                keep = p.decode(logits[at : at + n]) if n > 1 else np.ones(1, bool)
+                texts.append(p.text(keep))
+                at += n
+            text = pa.array(texts, pa.string())
+            found = pa.StructArray.from_arrays([text, pc.utf8_length(text).cast(pa.int64())], names=["text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), found], names=["row", "found"])
 
     return given.mapInArrow(task, schema)

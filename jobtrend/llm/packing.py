@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import texts_of
+from jobtrend.llm.common import slices, texts_of
 from jobtrend.llm.tokens import END_OF_TEXT, default_tokenizer, encoder
 
 SEQUENCE_TOKENS = 1024
@@ -127,17 +127,15 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = SEQUENCE
             for i in range(0, whole.num_rows, 10_000):
                 yield whole.slice(i, 10_000)
 
-        for batch in batches:
-            keys, texts = batch.column("doc_id").to_pylist(), texts_of(batch.column("text"))
-            for i in range(0, len(keys), 256):
-                for key, ids in zip(keys[i : i + 256], encode(texts[i : i + 256])):
-                    ids = np.append(ids, np.int32(END_OF_TEXT)).astype("<u4")
-                    points = cut_points(len(ids), capacity)
-                    for piece, (a, b) in enumerate(zip(points, points[1:])):
-                        for column, x in zip(columns, (key, piece, a, b - a, zlib.crc32(ids[a:b].tobytes()))):
-                            column.append(x)
-                if len(columns[0]) >= PACK_PIECES:
-                    yield from packed()
+        for batch in slices(batches, lambda x: x.column("text")):
+            for key, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch.column("text")))):
+                ids = np.append(ids, np.int32(END_OF_TEXT)).astype("<u4")
+                points = cut_points(len(ids), capacity)
+                for piece, (a, b) in enumerate(zip(points, points[1:])):
+                    for column, x in zip(columns, (key, piece, a, b - a, zlib.crc32(ids[a:b].tobytes()))):
+                        column.append(x)
+            if len(columns[0]) >= PACK_PIECES:
+                yield from packed()
         if columns[0]:
             yield from packed()
 

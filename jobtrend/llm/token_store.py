@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import shared_folder, texts_of
+from jobtrend.llm.common import shared_folder, slices, texts_of
 from jobtrend.llm.tokens import END_OF_TEXT, default_tokenizer, encoder
 
 #: Fixed values of the published formats.
@@ -147,17 +147,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id",
         name = f"part-{TaskContext.get().partitionId():06d}.zst"
         encode = encoder(tokenizer).encode
         writer = None
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            texts = texts_of(batch.column("text"))
-            for i in range(0, len(ids), 256):
-                if writer is None:
-                    store, path = open_folder(folder)
-                    store.create_dir(path, recursive=True)
-                    sink = store.open_output_stream(own := f"{path}/.{name}-{TaskContext.get().taskAttemptId()}")
-                    writer = FrameWriter(sink)
-                for k, found in zip(ids[i : i + 256], encode(texts[i : i + 256])):
-                    writer.add(k, np.append(found, np.int32(END_OF_TEXT)))
+        for batch in slices(batches, lambda x: x.column("text")):
+            if writer is None:
+                store, path = open_folder(folder)
+                store.create_dir(path, recursive=True)
+                sink = store.open_output_stream(own := f"{path}/.{name}-{TaskContext.get().taskAttemptId()}")
+                writer = FrameWriter(sink)
+            for k, found in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch.column("text")))):
+                writer.add(k, np.append(found, np.int32(END_OF_TEXT)))
         if writer is not None:
             writer.finish()
             sink.close()

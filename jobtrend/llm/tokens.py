@@ -13,7 +13,7 @@ from jobtrend.llm.common import process_cache
 END_OF_TEXT = 2
 #: Segments that a worker remembers (about 200 bytes each); the first ones stay, later ones are
 #: encoded again in each call.
-CACHE_SEGMENTS = 1_000_000
+CACHE_SEGMENTS = 500_000
 #: Where a space may not be cut: beside other white space, where it can be part of a longer run.
 _UNCUT = re.compile(r" \s|\s ")
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import Words, mix64, spread, whole_row
+from jobtrend.llm.common import Words, mix64, slices, spread, whole_row
 
 #: Rows of each class that a fit uses at most.
 TRAIN_ROWS = 4000
@@ -279,15 +279,13 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
     out = given.select("row", F.lit(None).cast("struct<held_out:boolean,score:double,predicted:int>").alias("found")).schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(0, whole.num_rows, 256):
-                batch = whole.slice(i, 256)
-                words = Words(batch.column("text"))
-                scores = np.zeros(batch.num_rows)
-                if held.value is not None:
-                    z = held.value.logits(features(words), words.counts) - held.value.thresholds[languages(words)]
-                    scores = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-                found = pa.StructArray.from_arrays([batch.column("held_out"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=["held_out", "score", "predicted"])
-                yield pa.RecordBatch.from_arrays([batch.column("row"), found], names=["row", "found"])
+        for batch in slices(batches, lambda x: x.column("text")):
+            words = Words(batch.column("text"))
+            scores = np.zeros(batch.num_rows)
+            if held.value is not None:
+                z = held.value.logits(features(words), words.counts) - held.value.thresholds[languages(words)]
+                scores = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+            found = pa.StructArray.from_arrays([batch.column("held_out"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=["held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), found], names=["row", "found"])
 
     return given.mapInArrow(task, out)
