@@ -16,31 +16,29 @@ def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) of every node in ``edges`` (u, v long).
 
     Alternating large and small stars: every node points to the smallest node that it or a
-    neighbour knows, until nothing changes; about log2 of the longest path rounds. Each
-    round's edges are written to the shared folder, and so are the minima, so that both
-    sides of the joins are exchanges that adaptive execution can split where a node has
-    very many neighbours. The driver gets two numbers a round.
+    neighbour knows, until every member points to one center that knows none smaller;
+    about log2 of the longest path rounds. Each round's edges are written to the
+    shared folder, and so are the minima, so that both sides of the joins are exchanges
+    that adaptive execution can split where a node has very many neighbours. The driver
+    gets one truth value a round.
     """
     now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = None
     while True:
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if seen == mark or not seen[0]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
-        mark = seen
         # large star: larger neighbours of a node go to the smallest node that it knows
         both = now.union(now.select("v", "u"))
         least = written(both.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")).select("k", F.least("k", "m").alias("m")), "minima")
-        large = both.join(least, both.u == least.k).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "edges")
+        large = both.join(least, both.u == least.k).where("v > u")
+        large = written(large.select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") < F.col("u")).alias("moved")), "edges")
         # small star: so do smaller ones
-        least = written(large.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")), "minima")
+        least = written(large.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"), ((F.min("v") < F.max("v")) | F.max("moved")).alias("open")), "minima")
+        if not least.where("open").limit(1).count():
+            return least.select(F.col("k").alias("node"), F.col("m").alias("component")).union(least.select("m", "m").distinct())
         small = large.join(least, large.u == least.k).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(small.union(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
 
 
 def in_blocks(members: DataFrame, group: str, node: str, size: int) -> DataFrame:
-    """``members`` with columns i, j: a copy for each pair of blocks of its group that it belongs to.
+    """``members`` with columns own, i, j, blocks: a copy for each pair of blocks that it belongs to.
 
     A group of n members has ceil(n / size) blocks by hash of ``node``; blocks meet in pairs, so
     that any two members share a pair (i, j) and no pair holds more than about twice ``size``.
@@ -50,7 +48,9 @@ def in_blocks(members: DataFrame, group: str, node: str, size: int) -> DataFrame
     placed = members.join(large, members[group] == large["_g"], "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
     placed = placed.withColumn("own", F.pmod(F.xxhash64(node), F.col("_blocks")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    return placed.withColumn("_other", others).select(*members.columns, "own", F.least("own", "_other").alias("i"), F.greatest("own", "_other").alias("j"))
+    return placed.withColumn("_other", others).select(
+        *members.columns, "own", F.least("own", "_other").alias("i"), F.greatest("own", "_other").alias("j"), F.col("_blocks").alias("blocks")
+    )
 
 
 def map_whole_groups(df: DataFrame, keys: list[str], work: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

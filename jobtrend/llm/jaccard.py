@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import Words, mix64, row_identity, whole_row, written
+from jobtrend.llm.common import Words, mix64, row_identity, slices, whole_row, written
 from jobtrend.llm.graph import components, in_blocks, map_whole_groups, roots
 
 SHINGLE = 5
@@ -91,22 +91,20 @@ def _signed(docs: DataFrame, doc_id: str, text: str, depth: int) -> DataFrame:
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_identity(doc_id, text).alias("identity"), F.col(text).cast("string").alias("text"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(0, whole.num_rows, 256):
-                batch = whole.slice(i, 256)
-                sets = shingle_sets(Words(batch.column("text")))
-                some = [k for k, s in enumerate(sets) if len(s)]
-                node = np.zeros(len(sets), np.int64)
-                prefixes: list = [None] * len(sets)
-                if some:
-                    found = signatures([sets[k] for k in some], TREES, depth).view(np.int64)
-                    for k, row in zip(some, found):
-                        node[k] = mix64(np.array([(mix64(sets[k]).sum() ^ np.bitwise_xor.reduce(sets[k])) + np.uint64(len(sets[k]))], np.uint64)).view(np.int64)[0]
-                        prefixes[k] = row.tolist()
-                none = np.array([p is None for p in prefixes])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("identity"), pa.array(node, mask=none), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "identity", "node", "prefixes"]
-                )
+        for batch in slices(batches, lambda x: x.column("text")):
+            sets = shingle_sets(Words(batch.column("text")))
+            some = [k for k, s in enumerate(sets) if len(s)]
+            node = np.zeros(len(sets), np.int64)
+            prefixes: list = [None] * len(sets)
+            if some:
+                found = signatures([sets[k] for k in some], TREES, depth).view(np.int64)
+                for k, row in zip(some, found):
+                    node[k] = mix64(np.array([(mix64(sets[k]).sum() ^ np.bitwise_xor.reduce(sets[k])) + np.uint64(len(sets[k]))], np.uint64)).view(np.int64)[0]
+                    prefixes[k] = row.tolist()
+            none = np.array([p is None for p in prefixes])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("identity"), pa.array(node, mask=none), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "identity", "node", "prefixes"]
+            )
 
     return given.mapInArrow(task, "doc_id long, identity binary, node long, prefixes array<long>")
 
@@ -142,7 +140,8 @@ def _verify(group: pa.Table) -> pa.RecordBatch | None:
         linked &= own[:, None] != own[None, :]  # pairs within a block belong to (i, i)
     a, b = np.nonzero(np.triu(linked))
     root = node[roots(len(node), a, b)]
-    return pa.RecordBatch.from_arrays([pa.array(node), pa.array((linked @ copies).astype(np.int64)), pa.array(root)], names=["node", "links", "root"])
+    alone = np.full(len(node), group.column("blocks")[0].as_py() == 1)
+    return pa.RecordBatch.from_arrays([pa.array(node), pa.array((linked @ copies).astype(np.int64)), pa.array(root), pa.array(alone)], names=["node", "links", "root", "alone"])
 
 
 def _verified(rows: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -162,12 +161,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     groups = written(components(ties), "candidate-groups")
     members = groups.join(classes.select("node", "first.identity", "copies"), "node")
     members = written(in_blocks(members, "component", "node", BLOCK), "members")
-    texts = docs.select(row_identity(doc_id, text).alias("identity"), F.col(text).cast("string").alias("text"))
-    compared = written(map_whole_groups(members.join(texts, "identity").drop("identity"), ["component", "i", "j"], _verified, "node long, links long, root long"), "links")
+    # the texts of these classes, by an exchange at every size: what is asked for grows with the input
+    texts = docs.select(row_identity(doc_id, text).alias("identity"), F.col(text).cast("string").alias("text")).hint("merge")
+    compared = written(map_whole_groups(members.join(texts, "identity").drop("identity"), ["component", "i", "j"], _verified, "node long, links long, root long, alone boolean"), "links")
     linked = compared.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
-    # classes of one block have their final root; those of several are tied by the roots of each pair
-    whole = components(compared.select(F.col("node").alias("u"), F.col("root").alias("v"))).withColumnRenamed("component", "final")
-    placed = written(classes.drop("prefixes").join(linked.select("node", "links"), "node", "left").join(whole, "node", "left").select("*", F.coalesce("final", "node").alias("component")), "placed")
+    # groups of one block have their final roots; those of several are tied by the roots of each pair
+    whole = components(compared.where("not alone").select(F.col("node").alias("u"), F.col("root").alias("v"))).withColumnRenamed("component", "final")
+    placed = classes.drop("prefixes").join(linked, "node", "left").join(whole, "node", "left")
+    placed = written(placed.select("*", F.coalesce("final", "root", "node").alias("component")), "placed")
     heads = written(placed.groupBy("component").agg(F.min("first").alias("head")), "heads")
     ruled = written(placed.join(heads, "component").select("node", F.col("head.doc_id").alias("class_id"), F.col("head.identity").alias("head"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "ruled")
     return rows.select("doc_id", "identity", "node").join(ruled, "node", "left").select(
