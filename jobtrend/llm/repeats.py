@@ -11,8 +11,10 @@ in the corpus can hold a repeat; they are found by counting anchor hashes.
   (linear grouping, ``suffix_array``) puts equal windows next to each other; neighbours are
   compared byte by byte.
 * An anchor with more than BLOCK different pieces (a frequent passage in changing
-  surroundings) would make one large group. Its windows are dealt out one by one and
-  counted by hash instead, pre-aggregated, so no task gets the whole group.
+  surroundings) would make one large group, so its windows are dealt out again by more of their
+  content: windows that begin far before the anchor by the bytes on its left, the others by
+  the bytes on its right. That halves the range of places each time, so after eight
+  rounds a group would hold one window; surroundings that differ part long before.
 
 Texts travel compressed, and only spans come back to their documents.
 
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from jobtrend.llm.common import _powers, mix64, process_cache, utf8_buffer, whole_row, written
+from jobtrend.llm.common import _powers, mix64, process_cache, slices, utf8_buffer, whole_row, written
 from jobtrend.llm.graph import map_whole_groups
 from jobtrend.llm.suffix_array import suffix_arrays
 
@@ -108,14 +111,8 @@ def row_key(doc_id: str, text: str) -> tuple[Column, Column]:
     return F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(body)).alias("own"), F.xxhash64(body).bitwiseAND(0xFFFFFF).cast("int").alias("mark")
 
 
-def _slices(batches: Iterator[pa.RecordBatch], size: int = 128) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for i in range(0, whole.num_rows, size):
-            yield whole.slice(i, size)
-
-
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in _slices(batches):
+    for batch in slices(batches, lambda x: x.column("text")):
         data, offsets = utf8_buffer(batch.column("text"))
         found = [pieces(data[a:b], keys_only=True)[2] for a, b in zip(offsets, offsets[1:])]
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["key"])
@@ -123,7 +120,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """own, at (start, mark and number in one integer), key, content."""
-    for batch in _slices(batches):
+    for batch in slices(batches, lambda x: x.column("text")):
         data, offsets = utf8_buffer(batch.column("text"))
         mark = batch.column("mark").to_numpy().astype(np.int64)
         found = [pieces(data[a:b]) for a, b in zip(offsets, offsets[1:])]
@@ -137,7 +134,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zstandard
 
     press = zstandard.ZstdCompressor(level=1)
-    for batch in _slices(batches):
+    for batch in slices(batches, lambda x: x.column("text")):
         body = [press.compress((x or "").encode()) for x in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "text"), pa.array(body, pa.binary())], names=[*(c for c in batch.schema.names if c != "text"), "body"])
 
@@ -148,26 +145,60 @@ def _unpacked(body: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
 
 
+PART = "key long, n long, own long, at long, piece binary, anchor int, lo int, hi int"
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of wanted pieces; for anchors with too many of them the hashes of their windows."""
-    for batch in _slices(batches, 64):
-        out: dict[str, list] = {k: [] for k in ("key", "n", "own", "at", "piece", "windows")}
+    """The bytes of wanted pieces, with the place of the anchor in them."""
+    for batch in slices(batches, lambda x: x.column("body"), 64):
+        out: dict[str, list] = {k: [] for k in ("key", "n", "own", "at", "piece", "anchor", "m")}
         for own, body, wanted in zip(*(batch.column(c).to_pylist() for c in ("own", "body", "wanted"))):
             data = _unpacked(body)
             for x in wanted:
                 start, number = x["at"] >> 32, x["at"] & 0xFF
                 piece = data[start : start + number + LENGTH - 1]
-                for k in ("key", "n", "at"):
+                first = np.arange(SPAN)
+                out["anchor"].append(int((Hashes(piece, 1).of(first, first + ANCHOR, 0) >> np.uint64(20)).argmin()))
+                for k in ("key", "n", "at", "m"):
                     out[k].append(x[k])
                 out["own"].append(own)
-                small = x["m"] <= BLOCK
-                out["piece"].append(piece.tobytes() if small else None)
-                windows = np.arange(number)
-                out["windows"].append(None if small else Hashes(piece, 2).of(windows, windows + LENGTH, 1).view(np.int64).tolist())
-        types = {"piece": pa.binary(), "windows": pa.list_(pa.int64())}
+                out["piece"].append(piece.tobytes())
+        out["lo"], out["hi"] = [0] * len(out["key"]), [SPAN - 1] * len(out["key"])
+        types = {"piece": pa.binary(), "anchor": pa.int32(), "lo": pa.int32(), "hi": pa.int32()}
+        names = ["key", "n", "own", "at", "piece", "anchor", "lo", "hi", "m"]
+        yield pa.RecordBatch.from_arrays([pa.array(out[k], types.get(k, pa.int64())) for k in names], names=names)
+
+
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces in two: windows with the anchor in the upper and in the lower half of its places.
+
+    Windows of a half have more bytes around the anchor in common, and these go into the key.
+    """
+    names = [x.split()[0] for x in PART.split(", ")]
+    for batch in slices(batches, lambda x: x.column("piece"), 1024):
+        out: dict[str, list] = {k: [] for k in [*names, "content"]}
+        for key, n, own, at, piece, anchor, lo, hi in zip(*(batch.column(c).to_pylist() for c in names)):
+            number, rest, middle = at & 0xFF, at & 0xFFFFFF00, (lo + hi) // 2
+            cut = min(max(anchor - middle, 0), number)  # windows before it have more than ``middle`` bytes on the left
+            for a, b, low, high in ((0, cut, middle + 1, hi), (cut, number, lo, middle)):
+                if a == b:
+                    continue
+                around = piece[anchor - low : anchor + ANCHOR + SPAN - 1 - high]
+                part = piece[a : b - 1 + LENGTH]
+                row = {
+                    "key": _digest(around, key ^ (low << 8 | high)), "n": n, "own": own, "at": ((at >> 32) + a) << 32 | rest | (b - a),
+                    "piece": part, "anchor": anchor - a, "lo": low, "hi": high, "content": _digest(part, 0),
+                }
+                for k, v in row.items():
+                    out[k].append(v)
+        types = {"piece": pa.binary(), "anchor": pa.int32(), "lo": pa.int32(), "hi": pa.int32()}
         yield pa.RecordBatch.from_arrays([pa.array(v, types.get(k, pa.int64())) for k, v in out.items()], names=list(out))
 
 
+def _digest(data: bytes, salt: int) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8, salt=(salt & 0xFFFFFFFFFFFFFFFF).to_bytes(8, "little")).digest(), "little", signed=True)
+
+
 def repeated_windows(groups: list[list[bytes]]) -> list[list[np.ndarray]]:
     """For each group of texts and each text in it, which of its windows occur elsewhere in the group.
 
@@ -242,15 +273,24 @@ def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     start = F.shiftright("at", 32)
     wanted = kinds.join(mixed, "key").groupBy("own", mark).agg(F.collect_list(F.struct("key", "n", "at", "m")).alias("wanted"))
     texts = given.mapInArrow(_packed, "own long, mark int, body binary")
-    cut = written(wanted.join(texts, ["own", "mark"]).mapInArrow(_cut, "key long, n long, own long, at long, piece binary, windows array<long>"), "cut")
-    small = map_whole_groups(cut.where("piece is not null").drop("windows"), ["key"], _arrays, "own long, mark int, start long, end long")
-    single = cut.where("windows is not null").select("key", "n", "own", "at", F.posexplode("windows").alias("k", "window"))
-    counted = written(single.groupBy("key", "window").agg(F.sum("n").alias("_n")).where("_n > 1").select("key", "window"), "windows")
-    large = single.where("n = 1").join(counted, ["key", "window"]).select("own", mark, (start + F.col("k")).alias("start"), (start + F.col("k") + LENGTH).alias("end"))
+    ranges = lambda df: df.select("own", mark, start.alias("start"), (start + F.col("at").bitwiseAND(0xFF) + LENGTH - 1).alias("end"))
+    cut = written(wanted.join(texts, ["own", "mark"]).mapInArrow(_cut, PART + ", m long"), "cut")
+    small, large, whole = [cut.where(F.col("m") <= BLOCK).drop("m")], cut.where(F.col("m") > BLOCK).drop("m"), []
+    while large.limit(1).count():  # eight rounds at most
+        halves = written(large.mapInArrow(_halves, PART + ", content long"), "halves")
+        merged = written(halves.groupBy("key", "content").agg(F.sum("n").alias("n"), F.min(F.struct("own", "at")).alias("first")), "merged")
+        groups = written(merged.groupBy("key").agg(F.count("*").alias("m"), F.min("n").alias("_least")).where("m > 1 and _least = 1").select("key", "m"), "groups")
+        several = merged.where("n > 1").select("key", "content")
+        whole.append(ranges(halves.where("n = 1").join(several, ["key", "content"], "left_semi")))
+        chosen = merged.join(groups, "key").select("key", "content", "first.own", "first.at", F.col("n").alias("_n"), "m")
+        parted = halves.join(chosen, ["key", "content", "own", "at"]).withColumn("n", F.col("_n")).drop("content", "_n")
+        parted = written(parted.select(*(x.split()[0] for x in PART.split(", ")), "m"), "parted")
+        small.append(parted.where(F.col("m") <= BLOCK).drop("m"))
+        large = parted.where(F.col("m") > BLOCK).drop("m")
+    arrays = map_whole_groups(reduce(DataFrame.union, small), ["key"], _arrays, "own long, mark int, start long, end long")
     twice = kinds.where("n > 1").select("key", "content")
-    whole = found.join(written(twice, "twice"), ["key", "content"], "left_semi")
-    whole = whole.select("own", mark, start.alias("start"), (start + F.col("at").bitwiseAND(0xFF) + LENGTH - 1).alias("end"))
-    return small.union(large).union(whole)
+    whole.append(ranges(found.join(written(twice, "twice"), ["key", "content"], "left_semi")))
+    return reduce(DataFrame.union, whole, arrays)
 
 
 def merged(ranges: list) -> list[tuple[int, int]]:
@@ -274,7 +314,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: li
     schema = joined.select("row", F.lit(None).cast(found).alias("found")).schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches, lambda x: x.column("body")):
             values = []
             for body, given in zip(batch.column("body").to_pylist(), batch.column("ranges").to_pylist()):
                 data = _unpacked(body).tobytes()
