@@ -5,9 +5,15 @@ smallest piece is swapped for two unpacked pieces, where two are found that fill
 gap more tightly. Only documents longer than a sequence are cut; the first piece takes the
 remainder, the others fill whole sequences.
 
-Every task packs the pieces that it has read, PACK_PIECES at a time, so no group meets in
-one task, nothing is shuffled, and a task run again gives the same result; what this leaves
-open is at most one sequence in part for each task and each PACK_PIECES pieces.
+Texts are encoded first and written as pieces without text. These are dealt out by a hash into
+partitions of DEAL_PIECES on average, so each holds a sample of all lengths, whatever order or
+files the documents came in, and a task packs its partition. Its pieces are put in order before,
+so the result does not depend on the layout of the input. Packing in parts can cost sequences
+against packing all pieces at once; a part's sequences stay open as far as its own lengths
+do not fit together (README has measured figures), and no bound is claimed.
+
+Rows that agree in doc_id, place and ids meet in one partition. A task packs PACK_PIECES at a
+time, so its memory is bounded even then; only beyond that does the order of arrival count.
 
 Defined results: null text is empty (its one id is the end id, so every row has a piece);
 repeated rows are packed one by one; an empty table gives no row; extra input columns
@@ -16,6 +22,7 @@ are not read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -25,13 +32,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import slices, texts_of
+from jobtrend.llm.common import slices, texts_of, written
 from jobtrend.llm.tokens import END_OF_TEXT, default_tokenizer, encoder
 
 SEQUENCE_TOKENS = 1024
-#: Pieces that a task packs together (about 40 bytes of memory each).
+#: Pieces that a task packs together at most (about 60 bytes of memory each).
 PACK_PIECES = 1_000_000
-SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+#: Pieces of a partition on average.
+DEAL_PIECES = 50_000
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+SCHEMA = f"{PIECES}, sequence_id long, offset long"
 
 
 def cut_points(n: int, capacity: int) -> list[int]:
@@ -110,33 +120,47 @@ def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = SEQUENCE_TOKENS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a piece: its document, place and digest, its sequence and offset there."""
     tokenizer = tokenizer or default_tokenizer()
+    own = [x.split()[0] for x in PIECES.split(", ")]
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
-        base = TaskContext.get().partitionId() << 40
-        made = 0
-        columns: list[list] = [[], [], [], [], []]
-
-        def packed() -> Iterator[pa.RecordBatch]:
-            nonlocal made, columns
-            sequence, offset, n = best_two_fit(np.array(columns[3], np.int64), capacity)
-            arrays = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), *(pa.array(x, pa.int64()) for x in columns[2:]), pa.array(base + made + sequence), pa.array(offset)]
-            made += n
-            columns = [[], [], [], [], []]
-            whole = pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in SCHEMA.split(", ")])
-            for i in range(0, whole.num_rows, 10_000):
-                yield whole.slice(i, 10_000)
-
         for batch in slices(batches, lambda x: x.column("text")):
+            columns: list[list] = [[], [], [], [], []]
             for key, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch.column("text")))):
                 ids = np.append(ids, np.int32(END_OF_TEXT)).astype("<u4")
                 points = cut_points(len(ids), capacity)
                 for piece, (a, b) in enumerate(zip(points, points[1:])):
                     for column, x in zip(columns, (key, piece, a, b - a, zlib.crc32(ids[a:b].tobytes()))):
                         column.append(x)
-            if len(columns[0]) >= PACK_PIECES:
-                yield from packed()
-        if columns[0]:
+            arrays = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), *(pa.array(x, pa.int64()) for x in columns[2:])]
+            yield pa.RecordBatch.from_arrays(arrays, names=own)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() << 40
+        made, held, rows = 0, [], 0
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            nonlocal made, held, rows
+            whole = pa.Table.from_batches(held).sort_by([(x, "ascending") for x in own])
+            sequence, offset, n = best_two_fit(whole.column("length").to_numpy(), capacity)
+            whole = whole.append_column("sequence_id", pa.array(base + made + sequence)).append_column("offset", pa.array(offset))
+            made += n
+            held, rows = [], 0
+            yield from whole.to_batches(10_000)
+
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, PACK_PIECES - rows)
+                held.append(part)
+                at += part.num_rows
+                rows += part.num_rows
+                if rows >= PACK_PIECES:
+                    yield from packed()
+        if held:
             yield from packed()
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(task, SCHEMA)
+    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    pieces = written(given.mapInArrow(cut, PIECES), "pieces")
+    parts = max(1, math.ceil(pieces.count() / DEAL_PIECES))
+    return pieces.repartition(parts, "doc_id", "piece", "ids_crc32").mapInArrow(fill, SCHEMA)

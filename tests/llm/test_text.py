@@ -191,3 +191,30 @@ def test_decontamination_equals_brute_force(spark, block_bytes):
     assert marked.select("row.*").columns == docs.columns
     assert all(not r.found.contaminated for r in decontaminate.mark(docs, benchmark.limit(0), item_id="row").collect())
     assert decontaminate.mark(docs.limit(0), benchmark, item_id="row").count() == 0
+
+
+def test_packing_joins_documents_of_different_splits(spark):
+    """Documents sorted by length, each split with one length only: they fill each other's gaps."""
+    texts = [(k, "a " * 60) for k in range(40)] + [(k, "a " * 40) for k in range(40, 80)]
+    tokens = {k: len(_ids(t)) for k, t in texts}
+    capacity = tokens[0] + tokens[40]
+    assert 2 * tokens[0] > capacity  # of the longer ones no two share a sequence
+    docs = odd_documents(spark, texts).repartitionByRange(2, "doc_id").sortWithinPartitions("doc_id")
+    got = packing.pack(docs, capacity=capacity).collect()
+    assert len(got) == 80 and len({r.sequence_id for r in got}) == 40
+    # the same sequences whatever the layout of the input
+    places = sorted((r.doc_id, r.sequence_id, r.offset) for r in got)
+    again = packing.pack(odd_documents(spark, texts[::-1]).repartition(5), capacity=capacity).collect()
+    assert sorted((r.doc_id, r.sequence_id, r.offset) for r in again) == places
+
+
+def test_dealt_packing_stays_near_one_pack_of_all(spark, monkeypatch):
+    monkeypatch.setattr(packing, "DEAL_PIECES", 200)
+    rng = random.Random(8)
+    texts = sorted(((k, "a " * rng.randint(1, 120)) for k in range(2000)), key=lambda x: len(x[1]))
+    lengths = np.array([len(_ids(t)) for _, t in texts])
+    docs = odd_documents(spark, texts).repartitionByRange(8, "n_chars").sortWithinPartitions("n_chars")
+    got = packing.pack(docs, capacity=128).collect()
+    assert sorted(r.length for r in got) == sorted(lengths.tolist())
+    assert len({r.sequence_id >> 40 for r in got}) > 5
+    assert len({r.sequence_id for r in got}) <= 1.05 * packing.best_two_fit(lengths, 128)[2]
