@@ -9,8 +9,11 @@ outside, then inside, then cut out: nothing below a cut is kept, and nothing kep
 beside its own exclusion.
 
 The table has no labels, so the trees learn from TRAIN_PAGES pages that a seeded generator
-lays out in many ways (``training_page``); scripts, styles, comments and markup are removed
-by the parser, not learned.
+lays out in many ways (``training_page``); scripts, styles, comments, markup and the
+elements in DROPPED are removed by the parser, not learned. Of an element in DROPPED all text up to
+its end tag goes. Where it has none, it ends as in browsers (a second button ends the first, a
+paragraph an svg) or where a block around it ends, and only what comes before its first
+block-level start tag goes. The text of math stays.
 
 Defined results: null and empty pages have empty text; a page without any tag is one block of
 text; unclosed, crossed and stray tags are repaired as browsers do for the common cases. Rows
@@ -23,6 +26,7 @@ import html
 import math
 import random
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,10 +44,21 @@ SWITCH = 0.5
 
 #: Elements of HTML.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "plaintext"}
-DROPPED = {"head", "noscript", "template", "svg", "math", "select", "button", "object", "canvas", "audio", "video", "datalist", "dialog"}
+DROPPED = {"head", "noscript", "template", "svg", "select", "button", "object", "canvas", "audio", "video", "datalist", "dialog"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var output meter progress wbr br img input".split())
+MATH = set("math mi mo mn ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd mstyle merror mpadded mphantom mspace mfenced menclose maction semantics annotation annotation-xml".split())
+INLINE |= MATH
 CLOSES_P = set("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
+#: Block-level start tags; where an element without text of the page never ends, the page goes on at the first one.
+BLOCKS = CLOSES_P | {"li", "dt", "dd", "caption", "thead", "tbody", "tfoot", "tr", "td", "th"}
+#: Start tags that end an open svg, except in the elements of SVG_HTML.
+LEAVES_SVG = BLOCKS | set("b big code em embed i img nobr ruby s small span strong strike sub sup tt u var br".split())
+SVG_HTML = ("foreignobject", "desc", "title")
+#: What a head can hold; everything else ends it.
+HEAD = set("head html base basefont bgsound link meta title script style noscript noframes template".split())
+#: A button inside one of these does not end the button outside.
+SCOPES = ("object", "template", "caption", "table", "td", "th")
 #: Start tags that end an open element of the first set, unless one of the second set lies between.
 SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -87,6 +102,8 @@ class Page:
         self.children = [0]
         self.counts: list[list[float]] = [[0.0] * 6]  # own: characters, in links, punctuation, words, links, controls
         self.flow: list[tuple[int, str | None]] = []  # text of a node, or the edge of a block
+        self.open: Counter[str] = Counter()  # names of the open elements
+        self.behind: dict[int, int] = {}  # where the page goes on after the dropped element that begins at a place
         self._parse(source)
 
     def _open(self, parent: int, tag: str, attributes: str) -> int:
@@ -119,6 +136,7 @@ class Page:
             nonlocal links
             for name, _ in stack[k:]:
                 links -= name == "a"
+                self.open[name] -= 1
             block = any(name not in INLINE for name, _ in stack[k:])
             if block:
                 edge()
@@ -126,7 +144,7 @@ class Page:
 
         while place < end:
             m = _TOKEN.match(source, place)
-            place = m.end()
+            begin, place = place, m.end()
             name = m[2] or m[5]
             if name is None:
                 if m[7] is not None or m[0] == "<":
@@ -157,8 +175,11 @@ class Page:
                 close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(source, place)
                 place = (source.find(">", close.end()) + 1 or end) if close else end
                 continue
-            if name in DROPPED and not attributes.rstrip().endswith("/"):
-                place = self._skip(source, place, name)
+            if name in DROPPED:
+                if not attributes.rstrip().endswith("/"):
+                    if begin not in self.behind:
+                        self._skip(source, begin, place, name)
+                    place = self.behind[begin]
                 continue
             if name == "body" or name == "html":
                 edge()
@@ -187,28 +208,95 @@ class Page:
                     links += 1
                 elif name == "input":
                     self.counts[node][5] += 1
-                elif name == "br":
+                elif name in ("br", "mtd"):
                     self.flow.append((node, " "))
-                if name not in VOID:
+                if name not in VOID and not (name in MATH and attributes.rstrip().endswith("/")):
                     stack.append((name, node))
+                    self.open[name] += 1
                 continue
             edge()
             if name in VOID:
                 continue
             stack.append((name, self._open(node, name, attributes)))
-
-    @staticmethod
-    def _skip(source: str, place: int, name: str) -> int:
-        """The place behind an element that holds no text of the page; a head ends at the body too."""
-        pattern = rf"<(/?){name}(?=[\s/>])[^>]*>" + (r"|<()body(?=[\s/>])" if name == "head" else "")
-        depth = 1
-        for m in re.compile(pattern, re.I).finditer(source, place):
-            if name == "head" and not m[0].lower().startswith(("<head", "</head")):
-                return m.start()
-            depth += -1 if m[1] else 1
-            if not depth:
-                return m.end()
-        return place if name == "head" else len(source)
+            self.open[name] += 1
+
+    def _skip(self, source: str, begin: int, place: int, dropped: str) -> None:
+        """Notes in ``behind`` where the page goes on after a dropped element, and after those met inside it.
+
+        Behind its end tag; without one, at its first block-level start tag, or else where it is ended.
+        What is met inside is noted too, so no part of a page is read for this more than once.
+        """
+        stack: list[tuple[str, int]] = []  # open elements in here with the place of their start tags
+        at: dict[str, list[int]] = defaultdict(list)  # for each name the places in the stack
+        inner: list[int] = []  # places in the stack of dropped elements
+        block: dict[int, int] = {}  # for these the first block inside, not counting what is in others with an end tag
+
+        def push(name: str, begin: int) -> None:
+            at[name].append(len(stack))
+            if name in DROPPED:
+                inner.append(len(stack))
+            stack.append((name, begin))
+
+        def pop_to(k: int, end: int, closed: int | None = None) -> bool:
+            """Ends the elements from k on at a place; the first one has an end tag up to ``closed``."""
+            while len(stack) > k:
+                name, begin = stack.pop()
+                n = len(stack)
+                at[name].pop()
+                if name in DROPPED:
+                    inner.pop()
+                    first = block.pop(n, None)
+                    if closed is not None and n == k:
+                        self.behind[begin] = closed
+                    else:
+                        self.behind[begin] = end if first is None else first
+                        if first is not None and inner:
+                            block.setdefault(inner[-1], first)
+            return not stack
+
+        def top(*names: str) -> int:
+            return max((at[x][-1] for x in names if at[x]), default=-1)
+
+        push(dropped, begin)
+        while place < len(source):
+            m = _TOKEN.match(source, place)
+            begin, place = place, m.end()
+            name = m[2] or m[5]
+            if name is None:
+                if stack[-1][0] == "head" and (m[7] or m[0]) and not m[0].startswith(("<!", "<?", "</")) and not m[0].isspace():
+                    pop_to(0, begin)  # text ends a head
+                    return
+                continue
+            name, closing, attributes = name.lower(), m[1] or m[4], m[3] or m[6] or ""
+            foreign = top("svg") > top(*SVG_HTML)
+            if closing:
+                if at[name]:
+                    if pop_to(at[name][-1], begin, place):
+                        return
+                elif name in ("body", "html") or (self.open[name] > 0 and (name not in INLINE or stack[0][0] == "svg")):
+                    pop_to(0, begin)
+                    return
+                continue
+            if name == "body" and at["head"] or stack[-1][0] == "head" and name not in HEAD:
+                pop_to(0, begin)
+                return
+            if foreign and name in LEAVES_SVG:
+                while at["svg"] and top("svg") > top(*SVG_HTML):
+                    if pop_to(at["svg"][-1], begin):
+                        return
+            if name in BLOCKS:
+                block.setdefault(inner[-1], begin)
+            ends = top("select") if name in ("select", "input", "textarea") else top(name) if name == "noscript" or (name == "button" and top(name) > top(*SCOPES)) else -1
+            if ends >= 0 and pop_to(ends, begin):
+                return
+            if name in VOID or name in ("head", "html", "body") or (attributes.rstrip().endswith("/") and (name in DROPPED or foreign)):
+                continue
+            if name in RAW and not at["svg"] and not at["noscript"]:
+                close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(source, place)
+                place = (source.find(">", close.end()) + 1 or len(source)) if close else len(source)
+                continue
+            push(name, begin)
+        pop_to(0, len(source))
 
     def features(self) -> np.ndarray:
         """A row a node."""

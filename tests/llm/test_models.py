@@ -271,3 +271,44 @@ def test_url_rules_equal_brute_force(spark, broadcast):
         assert url_rules.judge(pages.limit(0), url_rules.rule_table(spark, url_rules.RULES)).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _all_text(source):
+    page = html_text.Page(source)
+    return page.text(np.ones(len(page.tag), bool))
+
+
+@pytest.mark.parametrize("name", ["button", "noscript", "template", "svg", "select", "object", "canvas", "audio", "video", "datalist", "dialog"])
+def test_dropped_elements_without_an_end_keep_the_page(name):
+    assert _all_text(f"<p>one</p><{name}>gone</{name}><p>two</p>") == "one\ntwo"
+    assert _all_text(f"<p>one</p><{name}>gone<p>two</p><div>three</div>") == "one\ntwo\nthree"
+    assert _all_text(f"<div>one<{name}>gone</div>two<p>three") == "one\ntwo\nthree"
+    assert _all_text(f"<body><p>one</p><{name}>gone<p>two</p></body></html>") == "one\ntwo"
+    assert _all_text(f"<p>one</p><{name} class=x/><p>two</p>") == "one\ntwo"
+    # one that ends after one that does not
+    assert _all_text(f"<p>one</p><{name}>gone<p>two</p><p>x<{name}>gone</{name}>y</p><p>three</p>") == "one\ntwo\nxy\nthree"
+
+
+def test_nested_dropped_elements():
+    assert _all_text("<p>a<svg><svg viewBox='0 0 1 1'/><path d='M0'/><text>gone</text></svg>b</p><p>c</p>") == "ab\nc"
+    assert _all_text("<p>a<svg><g><svg><text>gone</text></svg></g></svg>b</p>") == "ab"
+    assert _all_text("<button>A<button>B</button><p>two</p>three") == "two\nthree"
+    assert _all_text("<svg><path d=x><p>two</p></svg><p>three") == "two\nthree"
+    assert _all_text("<svg><foreignObject><div>gone</div></foreignObject></svg>three") == "three"
+    assert _all_text("<svg><title/><style/></svg>three") == "three"
+    assert _all_text("<button><svg><path></button>three") == "three"
+    assert _all_text("<button>x<template><p>gone</p></template>x<p>two</p>three") == "two\nthree"
+    assert _all_text("<object>x<object><p>gone</p></object></object>three") == "three"
+    assert _all_text("<select><option>A<select><option>B</select>three") == "three"
+    assert _all_text("<head><title>T</title><noscript><p>gone</noscript><p>two</p>") == "two"
+    assert _all_text("<head><title>T</title><noscript>gone</head><body>two") == "two"
+
+
+def test_text_of_math_stays():
+    assert _all_text("<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></math> then</p>") == "If x=2 then"
+    assert _all_text("<p>If <math><mi>x<p>two</p>three") == "If x\ntwo\nthree"
+
+
+def test_unclosed_dropped_elements_are_linear():
+    for source in ("<button><p>" * 10_000, "<svg>" * 20_000, "<object><p>" * 10_000, "<object>" * 20_000, "<div><button>" * 10_000, "<template><div><svg>" * 7_000, "<noscript>" * 20_000):
+        _all_text(source)
