@@ -13,7 +13,8 @@ split), one pass a block, and passes join their marks, so no size is left out.
 
 Defined results: null and empty texts have no words, no hits and are not contaminated;
 items without words have no window; repeated item rows count once; items with equal text
-are each reported; an empty benchmark hits nothing. Every input row is returned
+are each reported; windows of an item with a null item_id are hits that add no name to items; an
+empty benchmark hits nothing. Every input row is returned
 once, its columns inside ``row`` and the results inside ``found``.
 """
 
@@ -95,7 +96,7 @@ class Search:
                     yield int(at[i]), int(k)
 
 
-def searches(items: list[tuple[str, str]], window: int = WINDOW) -> list[Search]:
+def searches(items: list[tuple[str | None, str]], window: int = WINDOW) -> list[Search]:
     """One Search for each length of test strings of these (item_id, text)."""
     by_width: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
     words = Words(pa.array([x[1] for x in items], pa.string()))
@@ -104,7 +105,7 @@ def searches(items: list[tuple[str, str]], window: int = WINDOW) -> list[Search]
         n, first = int(words.counts[k]), int(words.first[k])
         width = min(window, n)
         for i in range(first, first + n - width + 1 if n else first):
-            by_width[width][buffer[words.start[i] : words.end[i + width - 1]]].add(item)
+            by_width[width][buffer[words.start[i] : words.end[i + width - 1]]].update(() if item is None else (item,))
     return [Search(width, strings) for width, strings in sorted(by_width.items())]
 
 
@@ -121,7 +122,7 @@ def _marks(words: Words, found: list[Search], hits: np.ndarray, items: list[set[
 def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``row`` and ``found`` (n_words, n_hit, items, contaminated, hits: a bit for each word)."""
     spark = docs.sparkSession
-    known = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).where("item is not null and text is not null")
+    known = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null")
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     out = docs.select(whole_row(docs).alias("row"), F.lit(None).cast(f"struct<{FOUND.replace(' ', ':').replace(',:', ',')}>").alias("found"))

@@ -218,3 +218,29 @@ def test_dealt_packing_stays_near_one_pack_of_all(spark, monkeypatch):
     assert sorted(r.length for r in got) == sorted(lengths.tolist())
     assert len({r.sequence_id >> 40 for r in got}) > 5
     assert len({r.sequence_id for r in got}) <= 1.05 * packing.best_two_fit(lengths, 128)[2]
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 100])
+def test_items_without_an_id_hit_too(spark, block_bytes):
+    items = [(None, prose(1, 20)), (None, "one two"), (1, prose(2, 15)), (2, prose(3, 13)), (None, prose(3, 13))]
+    texts = [(1, prose(1, 20)), (2, "x one, TWO y"), (3, prose(2, 15) + " . " + prose(1, 14)), (4, prose(3, 13)), (5, prose(4, 50)), (6, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    marked = decontaminate.mark(odd_documents(spark, texts), benchmark, block_bytes=block_bytes)
+    got = sorted((r.row.doc_id, r.found.n_hit, r.found["items"], r.found.contaminated) for r in marked.collect())
+    assert got == [(1, 20, [], True), (2, 2, [], True), (3, 29, ["1"], True), (4, 13, ["2"], True), (5, 0, [], False), (6, 0, [], False)]
+
+
+def test_items_without_an_id_as_in_sql(spark, tmp_path):
+    import duckdb
+
+    from jobtrend.llm.queries import ORACLE, QUERIES
+
+    texts = [(1, prose(1, 20)), (2, "x one, TWO y"), (3, prose(2, 15)), (4, "none")]
+    odd_documents(spark, texts).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, prose(1, 20)), (None, "one two"), (1, prose(2, 15))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    df = QUERIES["op5_decontamination"](spark, str(tmp_path))
+    want = con.sql(f"select {', '.join(df.columns)} from ({ORACLE['op5_decontamination']})").fetchall()
+    assert sorted(map(tuple, df.collect())) == sorted(want)
