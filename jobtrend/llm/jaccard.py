@@ -1,10 +1,12 @@
-"""N-gram Jaccard join by a MinHash LSH forest, with exact verification.
+"""N-gram Jaccard join by fixed-depth MinHash banding, with exact verification.
 
 Texts with the same set of shingles (five consecutive words) form a class, so copies are
-handled once. A class has TREES sequences of min-hashes, each a path of a prefix trie. From
-DEPTH on the matched prefix is shortened until two sets at the threshold share one in some
-tree with at least the target recall (``matched_depth``); with 24 trees that is four
-hashes for 0.99999. Classes that share a prefix are tied to the smallest of them, and the
+handled once. A class has TREES bands of min-hashes, each hashed to one number. Their depth is a
+constant, computed before any row is read (``matched_depth``): the largest up to DEPTH by which
+two sets at the threshold agree in some band with at least the target recall; with 24 bands that is
+four hashes for 0.99999. No more min-hashes are computed, and there is no trie, no sorted prefix
+and no shortening by the data, so this is not an LSH forest. Classes that share a band ("prefix" in
+the code) are tied to the smallest of them, and the
 components of these ties are the candidate groups: a pair that any tree finds lies in one.
 Inside a group all pairs are compared exactly, by counting common shingles with matrix
 products; a group goes to tasks in pairs of blocks of BLOCK classes. Tasks return for each class its
