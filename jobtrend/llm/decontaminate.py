@@ -7,9 +7,12 @@ end. Where it is zero, the hash of the last block and that of the first one sele
 strings of a bucket, and their bytes are compared. Texts are searched in many short lanes at
 once, each lane with a cursor of its own.
 
-The search is a map over documents; nothing is shuffled. The benchmark's windows go to all
-tasks in blocks of BLOCK_BYTES of benchmark text at most (on average; one item is not
-split), one pass a block, and passes join their marks, so no size is left out.
+The search is a map over documents; nothing of them is shuffled. The windows are cut, hashed and
+grouped by a Spark job over the benchmark and written. They go to all tasks in blocks dealt out by
+a hash, each with BLOCK_BYTES of table on average (windows, slots, item ids); a window with its
+item ids is not split. The driver holds one block at a time. Each block is a pass and passes
+join their marks, so no size is left out; what a pass returns is written before the next one,
+so a task holds one block too.
 
 Defined results: null and empty texts have no words, no hits and are not contaminated;
 items without words have no window; repeated item rows count once; items with equal text
@@ -21,7 +24,6 @@ once, its columns inside ``row`` and the results inside ``found``.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,36 +32,39 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import Words, slices, whole_row
+from jobtrend.llm.common import Words, slices, spread, whole_row, written
 
 WINDOW = 13
 #: A document is contaminated if 1 of so many words, or more, is hit.
 SHARE = 20
 BLOCK_BYTES = 32 << 20
+#: Bytes of a window in a block besides its text, slots and item ids (keys, order, offsets).
+ROW_BYTES = 48
 TABLE_BITS = 18
 #: Words that a lane covers.
 LANE = 256
 FOUND = "n_words long, n_hit long, items array<string>, contaminated boolean, hits binary"
 
 
+def bucket(words: Words, at: np.ndarray, width: int) -> np.ndarray:
+    """64 bits of the last and the first block of the runs of ``width`` words that begin at each word number."""
+    block = min(2, width)
+    return words.run_hash(at + width - block, block) ^ (words.run_hash(at, block) * np.uint64(0x9FB21C651E98DF25))
+
+
 class Search:
     """The shift table and buckets of all test strings with the same number of words."""
 
-    def __init__(self, width: int, strings: dict[bytes, set[str]]):
+    def __init__(self, width: int, rows: pa.Table):
         self.width, self.block = width, min(2, width)
-        joined = list(strings)
-        self.items = [sorted(strings[x]) for x in joined]
-        self.strings = joined
-        # the words of all test strings, through the same code that reads documents
-        own = Words(pa.array([x.decode("utf-8", "surrogateescape") for x in joined], pa.string()))
-        first = own.first
+        self.strings = rows.column("window").cast(pa.large_binary()).combine_chunks()
+        self.items = rows.column("items").combine_chunks()
         last = width - self.block
-        self.shift = np.full(1 << TABLE_BITS, last + 1, np.int64)
+        self.shift = np.full(1 << TABLE_BITS, last + 1, np.int32)
+        slots = rows.column("slots").combine_chunks().flatten().to_numpy().reshape(-1, last + 1)
         for j in range(last + 1):
-            slot = self.slot(own.run_hash(first + j, self.block))
-            np.minimum.at(self.shift, slot, last - j)
-        ends, begins = own.run_hash(first + last, self.block), own.run_hash(first, self.block)
-        key = ends ^ (begins * np.uint64(0x9FB21C651E98DF25))
+            np.minimum.at(self.shift, slots[:, j], last - j)
+        key = rows.column("key").to_numpy().view(np.uint64)
         order = np.argsort(key, kind="stable")
         self.key, self.number = key[order], order
 
@@ -86,27 +91,71 @@ class Search:
         at = np.concatenate(zero) if zero else np.empty(0, np.int64)
         if not len(at):
             return
-        key = words.run_hash(at + tail, self.block) ^ (words.run_hash(at, self.block) * np.uint64(0x9FB21C651E98DF25))
+        key = bucket(words, at, self.width)
         low, high = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
         buffer = words.norm.tobytes()
         for i in np.flatnonzero(high > low):
             text = buffer[words.start[at[i]] : words.end[at[i] + self.width - 1]]
             for k in self.number[low[i] : high[i]]:
-                if self.strings[k] == text:
+                if self.strings[k].as_py() == text:
                     yield int(at[i]), int(k)
 
 
-def searches(items: list[tuple[str | None, str]], window: int = WINDOW) -> list[Search]:
-    """One Search for each length of test strings of these (item_id, text)."""
-    by_width: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
-    words = Words(pa.array([x[1] for x in items], pa.string()))
-    buffer = words.norm.tobytes()
-    for k, (item, _) in enumerate(items):
-        n, first = int(words.counts[k]), int(words.first[k])
-        width = min(window, n)
-        for i in range(first, first + n - width + 1 if n else first):
-            by_width[width][buffer[words.start[i] : words.end[i + width - 1]]].update(() if item is None else (item,))
-    return [Search(width, strings) for width, strings in sorted(by_width.items())]
+def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The windows of (item, text): item, width, window, key, slots (of its blocks of words)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, lambda x: x.column("text")):
+            words = Words(batch.column("text"))
+            buffer = words.norm.tobytes()
+            widths = np.minimum(words.counts, window)
+            owner, place = spread(np.where(words.counts > 0, words.counts - widths + 1, 0))
+            for width in np.unique(widths[owner]).tolist():
+                own = widths[owner] == width
+                starts, owners = (words.first[owner] + place)[own], owner[own]
+                for i in range(0, len(starts), 2_000):
+                    at, block = starts[i : i + 2_000], min(2, width)
+                    slots = np.stack([Search.slot(words.run_hash(at + j, block)) for j in range(width - block + 1)], axis=1).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("item").take(pa.array(owners[i : i + 2_000])),
+                            pa.array(np.full(len(at), width, np.int32)),
+                            pa.array([buffer[a:b] for a, b in zip(words.start[at], words.end[at + width - 1])], pa.binary()),
+                            pa.array(bucket(words, at, width).view(np.int64)),
+                            pa.array(list(slots), pa.list_(pa.int32())),
+                        ],
+                        names=["item", "width", "window", "key", "slots"],
+                    )
+
+    return benchmark.mapInArrow(task, "item string, width int, window binary, key long, slots array<int>")
+
+
+def grouped(windows: DataFrame, parts: int) -> DataFrame:
+    """Each different window once, with its items; a task holds one of so many parts."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        rows = pa.Table.from_batches(held)
+        items: dict[tuple[int, bytes], set[str]] = {}
+        first = []
+        for k, (width, window, item) in enumerate(zip(*(rows.column(x).to_pylist() for x in ("width", "window", "item")))):
+            if (own := items.get((width, window))) is None:
+                own = items[width, window] = set()
+                first.append(k)
+            if item is not None:
+                own.add(item)
+        out = rows.take(pa.array(first)).drop_columns(["item"]).append_column("items", pa.array(map(sorted, items.values()), pa.list_(pa.string())))
+        yield from out.to_batches(2_000)
+
+    return windows.repartition(parts, "width", "window").mapInArrow(task, "width int, window binary, key long, slots array<int>, items array<string>")
+
+
+def searches(windows: pa.Table) -> list[Search]:
+    """One Search for each length of these test strings."""
+    widths = sorted(set(windows.column("width").to_pylist()))
+    return [Search(width, windows.filter(pc.equal(windows.column("width"), width))) for width in widths]
 
 
 def _marks(words: Words, found: list[Search], hits: np.ndarray, items: list[set[str]]) -> None:
@@ -115,7 +164,7 @@ def _marks(words: Words, found: list[Search], hits: np.ndarray, items: list[set[
         for at, k in search.find(words):
             edge[at] += 1
             edge[at + search.width] -= 1
-            items[words.doc[at]].update(search.items[k])
+            items[words.doc[at]].update(search.items[k].as_py())
     hits |= np.cumsum(edge[:-1]) > 0
 
 
@@ -123,13 +172,19 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     """``row`` and ``found`` (n_words, n_hit, items, contaminated, hits: a bit for each word)."""
     spark = docs.sparkSession
     known = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null")
-    total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cut = written(windows_of(known.distinct(), window), "cut")
+    size = F.octet_length("window") + 4 * F.size("slots") + F.coalesce(F.octet_length("item"), F.lit(0)) + ROW_BYTES
+    total = cut.agg(F.sum(size.cast("long"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
+    windows = written(grouped(cut, blocks), "windows")
     out = docs.select(whole_row(docs).alias("row"), F.lit(None).cast(f"struct<{FOUND.replace(' ', ':').replace(',:', ',')}>").alias("found"))
     schema = out.schema
     for b in range(blocks):
-        part = known.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
-        held = spark.sparkContext.broadcast(searches([tuple(x) for x in part.distinct().collect()], window))
+        if b:
+            out = written(out, "marked")
+            held.unpersist()
+        part = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b)
+        held = spark.sparkContext.broadcast(searches(part.toArrow()))
 
         def task(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             own_text = lambda batch: pc.struct_field(batch.column("row"), text).cast(pa.string())

@@ -244,3 +244,19 @@ def test_items_without_an_id_as_in_sql(spark, tmp_path):
     df = QUERIES["op5_decontamination"](spark, str(tmp_path))
     want = con.sql(f"select {', '.join(df.columns)} from ({ORACLE['op5_decontamination']})").fetchall()
     assert sorted(map(tuple, df.collect())) == sorted(want)
+
+
+def test_blocks_of_windows_have_a_byte_bound(spark, monkeypatch):
+    """What the driver collects and sends for a pass is bounded by bytes of windows, not of benchmark text."""
+    sent = []
+    whole = decontaminate.searches
+    monkeypatch.setattr(decontaminate, "searches", lambda *x: sent.append(whole(*x)) or sent[-1])
+    items = [(k, prose(k, 100)) for k in range(20)]
+    texts = [(k, prose(k, 100)) for k in range(20)] + [(50, prose(50, 100))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    limit = 100_000
+    assert sum(len(t) for _, t in items) < limit
+    marked = decontaminate.mark(odd_documents(spark, texts), benchmark, block_bytes=limit).collect()
+    assert sorted((r.row.doc_id, r.found.n_hit, r.found["items"]) for r in marked) == [(k, 100 * (k < 20), [str(k)] * (k < 20)) for k, _ in texts]
+    size = lambda x: x.nbytes if isinstance(x, pa.Array) else sum(map(len, x))
+    assert len(sent) > 1 and all(sum(size(s.strings) for s in found) <= limit for found in sent)
