@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import slices, texts_of, written
-from jobtrend.llm.tokens import END_OF_TEXT, default_tokenizer, encoder
+from jobtrend.llm.common import slices, written
+from jobtrend.llm.tokens import CALL, default_tokenizer, encoder, with_end
 
 SEQUENCE_TOKENS = 1024
 #: Pieces that a task packs together at most (about 60 bytes of memory each).
@@ -123,14 +123,15 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = SEQUENCE
     own = [x.split()[0] for x in PIECES.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        for batch in slices(batches, lambda x: x.column("text")):
+        encode = encoder(tokenizer).encode_column
+        for batch in slices(batches, lambda x: x.column("text"), *CALL):
             columns: list[list] = [[], [], [], [], []]
-            for key, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch.column("text")))):
-                ids = np.append(ids, np.int32(END_OF_TEXT)).astype("<u4")
-                points = cut_points(len(ids), capacity)
+            ids, begins = with_end(*encode(batch.column("text")))
+            ids = ids.astype("<u4")
+            for key, at, end in zip(batch.column("doc_id").to_pylist(), begins.tolist(), begins[1:].tolist()):
+                points = cut_points(end - at, capacity)
                 for piece, (a, b) in enumerate(zip(points, points[1:])):
-                    for column, x in zip(columns, (key, piece, a, b - a, zlib.crc32(ids[a:b].tobytes()))):
+                    for column, x in zip(columns, (key, piece, a, b - a, zlib.crc32(ids[at + a : at + b]))):
                         column.append(x)
             arrays = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), *(pa.array(x, pa.int64()) for x in columns[2:])]
             yield pa.RecordBatch.from_arrays(arrays, names=own)

@@ -31,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtrend.llm.common import shared_folder, slices, texts_of
-from jobtrend.llm.tokens import END_OF_TEXT, default_tokenizer, encoder
+from jobtrend.llm.common import shared_folder, slices
+from jobtrend.llm.tokens import CALL, default_tokenizer, encoder, with_end
 
 #: Fixed values of the published formats.
 SKIPPABLE_SEEK_TABLE = 0x184D2A5E
@@ -74,7 +74,7 @@ class FrameWriter:
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.documents.append((doc_id or 0, doc_id is not None, len(ids)))
         for i in range(0, len(ids), self.frame_ids):
-            part = ids[i : i + self.frame_ids].astype("<u4")
+            part = ids[i : i + self.frame_ids]
             self.waiting.append(part)
             self.held += len(part)
             if self.held >= self.frame_ids:
@@ -83,7 +83,7 @@ class FrameWriter:
     def _frame(self) -> None:
         import xxhash
 
-        raw = np.concatenate(self.waiting).tobytes()
+        raw = np.concatenate(self.waiting).astype("<u4").tobytes()
         packed = self.zstd.compress(raw)
         self.sink.write(packed)
         self.frames.append((len(packed), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
@@ -145,16 +145,17 @@ def write(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id",
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"part-{TaskContext.get().partitionId():06d}.zst"
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_column
         writer = None
-        for batch in slices(batches, lambda x: x.column("text")):
+        for batch in slices(batches, lambda x: x.column("text"), *CALL):
             if writer is None:
                 store, path = open_folder(folder)
                 store.create_dir(path, recursive=True)
                 sink = store.open_output_stream(own := f"{path}/.{name}-{TaskContext.get().taskAttemptId()}")
                 writer = FrameWriter(sink)
-            for k, found in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch.column("text")))):
-                writer.add(k, np.append(found, np.int32(END_OF_TEXT)))
+            ids, begins = with_end(*encode(batch.column("text")))
+            for k, a, b in zip(batch.column("doc_id").to_pylist(), begins, begins[1:]):
+                writer.add(k, ids[a:b])
         if writer is not None:
             writer.finish()
             sink.close()

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 from jobtrend.llm import decontaminate, packing, token_store
 from jobtrend.llm import tokens as T
@@ -33,19 +34,40 @@ def test_words_follow_the_pattern():
     assert Words(pa.array([], pa.string())).counts.tolist() == []
 
 
-@pytest.mark.parametrize("limit", [10**6, 20])
-def test_segments_give_the_ids_of_whole_texts(monkeypatch, limit):
-    monkeypatch.setattr(T, "CACHE_SEGMENTS", limit)
-    encoder = T.SegmentEncoder(T.default_tokenizer())
+LIBRARY = Tokenizer.from_file(T.default_tokenizer())
+#: Characters around which the word pattern turns; the last letter is newer than this Python's Unicode tables.
+EDGES = ["a", "b", "s", "l", "L", "'", " ", "  ", "\n", "\t", "\r\n", "1", "²", "é", "漢", "\u3000", "\xa0", "!", "-", "\u0301", "'s", "'re", "'ll", "’s", "😀", "<|endoftext|>", "\u200b", "\x1c", "\x85", "٣", "\U00010940"]
+
+
+@pytest.mark.parametrize("kept, part, special", [(10**6, 1 << 22, True), (20, 1 << 22, True), (20, 40, True), (10**6, 1 << 22, False)])
+def test_ids_equal_those_of_whole_texts(monkeypatch, kept, part, special):
+    monkeypatch.setattr(T, "KEPT_WORDS", kept)
+    monkeypatch.setattr(T, "PART", part)
+    monkeypatch.setattr(T, "process_cache", dict)
+    encoder = T.encoder(T.default_tokenizer(), special)
+    LIBRARY.encode_special_tokens = not special
     rng = random.Random(2)
-    texts = [t or "" for t in ODD_TEXTS] + ["".join(rng.choice("ab '\n\t 1.é漢　\x1c") for _ in range(14)) for _ in range(3000)]
-    for i in range(0, len(texts), 100):
-        for text, ids in zip(texts[i : i + 100], encoder.encode(texts[i : i + 100])):
-            assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
+    texts = [t or "" for t in ODD_TEXTS] + ["".join(rng.choice(EDGES) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    try:
+        for i in range(0, len(texts), 100):
+            for text, ids in zip(texts[i : i + 100], encoder.encode(texts[i : i + 100])):
+                assert ids.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, text
+    finally:
+        LIBRARY.encode_special_tokens = False
+    assert len(encoder.kept.young) <= kept and len(encoder.kept.old) <= kept
+    assert encoder.encode([]) == [] and encoder.encode_column(pa.array([None], pa.string()))[1].tolist() == [0, 0]
+
+
+def test_other_tokenizer_files_are_used_whole():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["Hello  World", "", "x<|endoftext|>y"]
+    assert [x.tolist() for x in T.encoder(path).encode(texts)] == [x.ids for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
 
 
 def _ids(text):
-    return np.array([*T.encoder(T.default_tokenizer()).tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+    return np.array([*LIBRARY.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
 
 
 def test_token_files_round_trip(spark):
