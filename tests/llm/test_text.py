@@ -43,7 +43,8 @@ EDGES = ["a", "b", "s", "l", "L", "'", " ", "  ", "\n", "\t", "\r\n", "1", "²",
 def test_ids_equal_those_of_whole_texts(monkeypatch, kept, part, special):
     monkeypatch.setattr(T, "KEPT_WORDS", kept)
     monkeypatch.setattr(T, "PART", part)
-    monkeypatch.setattr(T, "process_cache", dict)
+    cache: dict = {}
+    monkeypatch.setattr(T, "process_cache", lambda: cache)
     encoder = T.encoder(T.default_tokenizer(), special)
     LIBRARY.encode_special_tokens = not special
     rng = random.Random(2)
