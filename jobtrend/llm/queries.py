@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtrend.llm import decontaminate, html_text, jaccard, packing, pii, repeats, token_store, toxicity, url_rules, vectors
+from jobtrend.llm import align, bpe, decontaminate, html_text, jaccard, packing, pii, repeats, token_store, toxicity, url_rules, vectors, whitening
 from jobtrend.llm.common import table
 from jobtrend.llm.sql import OP5_SQL, OP10_SQL
 
@@ -64,6 +64,26 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, url_rules.rule_table(spark, url_rules.RULES)).select("row.page_id", "found.*")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+    return decoded.select(
+        "row.row.doc_id",
+        F.size("row.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("row.ids", ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    found = align.align(table(spark, sf_dir, "documents")).select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "times")
+    return align.with_counts(found)
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_suffix_array": op2_suffix_array,
@@ -75,5 +95,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_best_two_fit": op9_best_two_fit,
     "op10_url_rules": op10_url_rules,
+    "op11_whitening": op11_whitening,
+    "op12_bpe": op12_bpe,
+    "op13_alignment": op13_alignment,
 }
 ORACLE = {"op5_decontamination": OP5_SQL, "op10_url_rules": OP10_SQL}

@@ -26,7 +26,7 @@ def _documents():
 
 def test_every_query_is_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLE) <= set(entry.oracle_sql())
 
 
