@@ -1,41 +1,58 @@
 """Ranks of regions within (supersector, industry, year, Month), split across tasks.
 
 A window rank puts every row of one rank group in one task. For states that is
-a fixed, small list; for areas the group grows with the data. Here a group is cut
-into slices that need no look at the data, so the plan stays lazy:
+a fixed, small list; for areas the group grows with the data. Here places are numbered
+by one range exchange, so the plan stays lazy and no task holds a group or a tie:
 
 1. The changes of all ranked families are stacked into rows (family, group keys, change,
-   region). A change belongs to the slice of its sign and magnitude, SLICES to a
-   doubling, which keeps the order of changes; equal changes are cut further
-   by the first TIE_PREFIX characters of the region, which keeps the tie order.
-2. Rows are counted by (slice, change, prefix), with map-side partial sums. Running sums
-   inside each slice, and over the few slices of a group, give how many rows come
-   before; none of them sees a row of the report.
-3. Rows meet their count by hash of (group, slice, change, prefix). "first": count
-   before + position among equals. "average": tied rows share the mean of their
-   positions, which the counts alone give.
-4. The families of a report row are put together again by its key.
+   region), and a range exchange puts them in the order family, group, change (falling), region.
+   This order has no equal rows, so its ranges are even whatever group, change or
+   name is frequent. The report row travels with its first family.
+2. Inside a range, sorted rows are numbered as they come; the rows of each range are counted,
+   and the running sum of these counts (one number a range) gives every row its place in the whole
+   order. Both read the one exchange.
+3. The families of a report row are put together again by its key.
+4. "first": the place less the first place of the group (a map-side minimum). "average": tied
+   rows share the mean of the first and the last place of their change.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtrend.operators.growth import FAMILIES
 
-SLICES = 16
-TIE_PREFIX = 4
-# log2 of the smallest positive double is -1074
-_LEAST_EXPONENT = 1075
+#: Rows of a partition are numbered in the low bits of the id that Spark gives them.
+_ROW_BITS = 33
 
 
-def slice_of(change: Column) -> Column:
-    """The slice of a change: a whole number that never falls as the change grows."""
-    size = F.floor(F.log2(F.abs(change)) * F.lit(SLICES)) + F.lit(SLICES * _LEAST_EXPONENT)
-    return F.when(change == 0, F.lit(0)).otherwise(F.signum(change).cast("long") * F.greatest(size, F.lit(1)))
+def placed(df: DataFrame, rank_keys: Sequence[str], tie_keys: Sequence[str], families: Sequence[str]) -> DataFrame:
+    """A row for each family and report row, with ``_range`` and ``_row``, its number in that range.
+
+    Rows without a change come with their first family only, to carry the report row.
+    """
+    rank_keys, tie_keys = list(rank_keys), list(tie_keys)
+    others = [c for c in df.columns if c not in (*rank_keys, *tie_keys)]
+    entries = F.array(*[F.struct(F.lit(i).alias("_family"), F.col(f"pct_change{s}").alias("_change")) for i, s in enumerate(families)])
+    stacked = df.select("*", F.explode(entries).alias("_e")).select(
+        F.col("_e._family").alias("_family"),
+        F.col("_e._change").alias("_change"),
+        *rank_keys,
+        *tie_keys,
+        *[F.when(F.col("_e._family") == 0, F.col(c)).alias(c) for c in others],
+    )
+    order = [F.col("_family"), *(F.col(k) for k in rank_keys), F.col("_change").desc_nulls_last(), *(F.col(k) for k in tie_keys)]
+    dealt = stacked.where((F.col("_family") == 0) | F.col("_change").isNotNull()).repartitionByRange(_ranges(df), *order)
+    # the last columns never decide, but every reader of the rows needs them, so all read one exchange
+    ordered = dealt.sortWithinPartitions(*order, *others).withColumn("_id", F.monotonically_increasing_id())
+    return ordered.withColumn("_range", F.shiftright("_id", _ROW_BITS)).withColumn("_row", F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1))
+
+
+def _ranges(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def add_ranks_split(
@@ -45,57 +62,44 @@ def add_ranks_split(
     tie_keys: Sequence[str],
     methods: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Same result as ``growth.add_ranks``; ``key_cols`` is the report's unique key."""
+    """Same result as ``growth.add_ranks``; ``key_cols`` is the report's unique key (``rank_keys`` and ``tie_keys``)."""
     methods = methods or {}
-    families = [(s, methods.get(s, "first")) for s, _, _ in FAMILIES if methods.get(s, "first") is not None]
+    method = {s: methods.get(s, "first") for s, _, _ in FAMILIES}
+    families = [s for s in method if method[s] is not None]
     if not families:
-        return df.select("*", *[F.lit(None).cast("double").alias(f"rank{s}") for s, _, _ in FAMILIES])
-    key_cols, tie_keys = list(key_cols), list(tie_keys)
-    group = ["_family", *rank_keys]
-
-    # the report row travels with its first family only
-    record = F.struct(*df.columns)
-    kind = df.select(record.alias("r")).schema["r"].dataType
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(s).alias("_family"),
-                F.col(f"pct_change{s}").alias("_change"),
-                (record if i == 0 else F.lit(None).cast(kind)).alias("_record"),
-            )
-            for i, (s, _) in enumerate(families)
-        ]
-    )
-    stacked = df.select(*key_cols, F.explode(entries).alias("_e")).select(*key_cols, "_e.*").select(
-        "*", slice_of(F.col("_change")).alias("_slice"), F.substring(tie_keys[0], 1, TIE_PREFIX).alias("_prefix")
-    )
+        return df.select("*", *[F.lit(None).cast("double").alias(f"rank{s}") for s in method])
+    key_cols, rank_keys = list(key_cols), list(rank_keys)
 
-    places = [*group, "_slice", "_change", "_prefix"]
-    counts = stacked.where(F.col("_change").isNotNull()).groupBy(*places).agg(F.count(F.lit(1)).alias("_n"))
-    slices = counts.groupBy(*group, "_slice").agg(F.sum("_n").alias("_rows"))
-    higher = Window.partitionBy(*group).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.select(*group, "_slice", F.coalesce(F.sum("_rows").over(higher), F.lit(0)).alias("_above"))
-    inside = Window.partitionBy(*group, "_slice").orderBy(F.col("_change").desc(), "_prefix")
-    upto = Window.partitionBy(*group, "_slice").orderBy(F.col("_change").desc())  # with all equal changes
-    equals = Window.partitionBy(*group, "_slice", "_change")
-    counts = counts.select(
-        *places,
-        F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.sum("_n").over(upto.rangeBetween(Window.unboundedPreceding, 0)).alias("_upto"),
-        F.sum("_n").over(equals).alias("_equal"),
-    )
-    counts = counts.join(slices, [*group, "_slice"])
-
-    among = Window.partitionBy(*places).orderBy(*tie_keys)
-    joined = stacked.join(counts, places, "left").withColumn("_position", F.row_number().over(among))
-    averaged = [s for s, m in families if m == "average"]
-    first = (F.col("_above") + F.col("_before") + F.col("_position")).cast("double")
-    average = (F.col("_above") + F.col("_upto")).cast("double") - (F.col("_equal").cast("double") - 1.0) / 2.0
-    ranked = joined.select(
-        *key_cols, "_family", "_record", F.when(F.col("_family").isin(averaged), average).otherwise(first).alias("_rank")
-    )
-    rows = ranked.groupBy(*key_cols).agg(
-        F.first("_record", ignorenulls=True).alias("_record"),
-        *[F.max(F.when(F.col("_family") == s, F.col("_rank"))).alias(f"rank{s}") for s, _, _ in FAMILIES],
+    rows = placed(df, rank_keys, tie_keys, families)
+    only = lambda i, x: F.when((F.col("_family") == i) & F.col("_change").isNotNull(), F.col(x))
+    numbers = range(len(families))
+    spans = rows.groupBy("_range", *rank_keys).agg(F.count(F.lit(1)).alias("_n"), *[F.min(only(i, "_row")).alias(f"_row{i}") for i in numbers])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = spans.groupBy("_range").agg(F.sum("_n").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = F.broadcast(offsets)
+    starts = spans.join(offsets, "_range").groupBy(*rank_keys).agg(*[F.min(F.col("_before") + F.col(f"_row{i}")).alias(f"_start{i}") for i in numbers])
+    rows = rows.join(offsets, "_range").withColumn("_place", F.col("_before") + F.col("_row"))
+    others = [c for c in df.columns if c not in key_cols]
+    whole = rows.groupBy(*key_cols).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in others], *[F.max(only(i, "_place")).alias(f"_place{i}") for i in numbers]
     )
-    return rows.select("_record.*", *[f"rank{s}" for s, _, _ in FAMILIES])
+    ranked = _null_safe_join(whole, starts, rank_keys)
+    ranks = {s: (F.col(f"_place{i}") - F.col(f"_start{i}") + 1).cast("double") for i, s in enumerate(families)}
+    for i, s in enumerate(families):
+        if method[s] != "average":
+            continue
+        ties = rows.where((F.col("_family") == i) & F.col("_change").isNotNull()).groupBy(*rank_keys, F.col("_change").alias(f"_tied{i}"))
+        ties = ties.agg(F.min("_place").alias(f"_first{i}"), F.count(F.lit(1)).alias(f"_n{i}")).where(F.col(f"_n{i}") > 1)
+        ranked = _null_safe_join(ranked.withColumn(f"_tied{i}", F.col(f"pct_change{s}")), ties, [*rank_keys, f"_tied{i}"])
+        middle = (F.col(f"_first{i}") - F.col(f"_start{i}") + 1).cast("double") + (F.col(f"_n{i}") - 1) / 2.0
+        ranks[s] = F.coalesce(middle, ranks[s])
+    return ranked.select(*df.columns, *[ranks.get(s, F.lit(None).cast("double")).alias(f"rank{s}") for s in method])
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join; a group with a NULL key is a group, as in a window."""
+    right = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(right, cond, "left").drop(*[f"_r_{k}" for k in keys])

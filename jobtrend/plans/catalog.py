@@ -575,8 +575,8 @@ def _regional_frame(name, sql):
 
 
 _AREA_KEYS = "area_name, supersector_name, industry_name, year, Month"
-_regional_frame("sm_table_final_v3", O.with_ctes([], "select * from regional_slice where seasonal = 'U'"))
-_regional_frame("sm_table_final_v2", O.with_ctes([], "select * from regional_slice where seasonal = 'S'"))
+_regional_frame("sm_table_final_v2", O.with_ctes([], "select * from regional_slice where seasonal = 'U'"))
+_regional_frame("sm_table_final_v3", O.with_ctes([], "select * from regional_slice where seasonal = 'S'"))
 for _name, _where in (
     ("msa_rankings_over_mom", f"seasonal = 'S' and area_name in ({O.LARGE_AREAS})"),
     ("msa_rankings_under_mom", f"seasonal = 'S' and {O.SMALL_ROWS}"),
@@ -586,18 +586,3 @@ for _name, _where in (
         _name,
         O.with_ctes([], f"select {_AREA_KEYS}, sum(value) as value_mom from regional_slice where {_where} and {_whole} group by all"),
     )
-
-
-# --- ranks in slices, under the names of their own checks ---------------------------------
-
-
-@register("area_report_split_ranks", O.area_report_sql("all"))
-def q_area_report_split_ranks(spark, sf_dir):
-    """WIN8 at scale: area ranks computed in slices of their groups."""
-    return area_report(regional_clean_df(spark, sf_dir), FIXTURE_PARAMS, cohort="all")
-
-
-@register("area_over_report_split_ranks", O.area_report_sql("over"))
-def q_area_over_report_split_ranks(spark, sf_dir):
-    """WIN9 at scale: averaged tie ranks computed in slices of their groups."""
-    return area_report(regional_clean_df(spark, sf_dir), FIXTURE_PARAMS, cohort="over")

@@ -83,8 +83,8 @@ def regional_frames(regional_clean: DataFrame, params: ReportParams = ReportPara
     """The two regional slices and the adjusted sums of the cohorts, under their targets' names."""
     rows = regional_slice(regional_clean, params)
     return {
-        "sm_table_final_v3": rows.where(unadjusted()),
-        "sm_table_final_v2": rows.where(adjusted()),
+        "sm_table_final_v2": rows.where(unadjusted()),
+        "sm_table_final_v3": rows.where(adjusted()),
         "msa_rankings_over_mom": large_area_sums(rows, AREA_KEYS, params).drop("value"),
         "msa_rankings_under_mom": _adjusted_sums(rows.where(small_area_condition(params)), AREA_KEYS),
     }

@@ -2,8 +2,8 @@
 
 Each report is one lazy plan: slice -> fused seasonal sums (one shuffle on the group
 keys, partial aggregation first) -> growth windows (one shuffle on the series
-key) -> ranks -> rounding. States rank by window; areas rank in slices of their groups
-(``operators.rank``). Building a report starts no Spark job; the caller writes
+key) -> ranks -> rounding. States rank by window; areas rank by their places in one range
+exchange (``operators.rank``). Building a report starts no Spark job; the caller writes
 or displays the result.
 """
 
@@ -51,7 +51,7 @@ def growth_report(
 
     ``bounded_regions``: the regions come from a fixed list (states), so a rank
     group is small and ranked by a window; areas, whose number grows with the data,
-    are ranked in slices of their groups.
+    are ranked by their places in one range exchange.
     """
     series = [*region_keys, *series_tail]
     if params.scope == "table":

@@ -12,6 +12,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,29 +96,44 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or configured
 
 
-_TO_REMOVE: list[tuple[SparkSession, str]] = []
+_TO_REMOVE: list[tuple] = []
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir``; removed when the driver exits."""
+    """A new folder name below ``spark.checkpoint.dir``; removed when the driver exits, or by ``scratch``."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     _remove_at_exit(spark, path)
     return path
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Removes the shared folders that were made inside, on leaving: for a driver that runs many queries.
+
+    Their results must have been written or collected by then.
+    """
+    mark = len(_TO_REMOVE)
+    try:
+        yield
+    finally:
+        _remove_folders(mark)
+
+
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
     if not _TO_REMOVE:
         atexit.register(_remove_folders)
-    _TO_REMOVE.append((spark, path))
+    # the settings outlive a stopped session
+    _TO_REMOVE.append((spark._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path))
 
 
-def _remove_folders() -> None:
-    for spark, path in _TO_REMOVE:
+def _remove_folders(mark: int = 0) -> None:
+    while len(_TO_REMOVE) > mark:
+        jvm, settings, path = _TO_REMOVE.pop()
         if path.startswith("file:"):
             shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
-        elif spark.sparkContext._jsc is not None:  # not stopped
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            continue
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(settings).delete(where, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -37,10 +37,32 @@ def read_code_table(
     return reader.load(path or name)
 
 
-def read_code_tables(spark: SparkSession, names, fmt: str = "parquet", paths: dict | None = None, options=None):
-    """Several code tables by name -> {name: DataFrame}."""
-    paths = paths or {}
-    return {n: read_code_table(spark, n, fmt, paths.get(n), options) for n in names}
+def parallel_reads(column: str, lower: int | str, upper: int | str, parts: int) -> dict[str, str]:
+    """JDBC options that read a table in ``parts`` ranges of ``column`` (rows outside the bounds come with the
+    first and the last range)."""
+    if parts < 1:
+        raise ValueError("parts must be at least 1")
+    return {"partitionColumn": column, "lowerBound": str(lower), "upperBound": str(upper), "numPartitions": str(parts)}
+
+
+def read_code_tables(
+    spark: SparkSession,
+    names,
+    fmt: str = "parquet",
+    paths: dict | None = None,
+    options: dict[str, str] | None = None,
+    table_options: dict[str, dict[str, str]] | None = None,
+):
+    """Several code tables by name -> {name: DataFrame}.
+
+    ``options`` hold for all tables, ``table_options[name]`` for one (they win): a large series
+    table can be read in ranges (``parallel_reads``) beside small ones that are read whole.
+    """
+    paths, own = paths or {}, table_options or {}
+    unknown = set(own) - set(names)
+    if unknown:
+        raise ValueError(f"table_options for tables that are not read: {sorted(unknown)}")
+    return {n: read_code_table(spark, n, fmt, paths.get(n), {**(options or {}), **own.get(n, {})}) for n in names}
 
 
 def latest_month(monthly: DataFrame) -> DataFrame:

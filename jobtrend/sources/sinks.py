@@ -1,14 +1,16 @@
 """Report sinks (SNK1-SNK3): replace a target table or folder.
 
-Each write is an ``overwrite`` of one target, so a report can be rerun alone and
-a failed run never leaves two reports half mixed (D12).
+A file target is written beside its place and takes it only when it is complete, so a report can be
+rerun alone, a failed run leaves the old target whole (D12), and a report may read what it replaces.
+A JDBC target is dropped first, as the database driver does it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def with_table_index(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:
@@ -48,12 +50,55 @@ def write_report(
         opts.setdefault("dbtable", target)
         df.write.format("jdbc").options(**opts).mode("overwrite").save()
         return
-    writer = df.write.mode("overwrite").format(fmt).options(**opts)
+    writer = df.write.mode("error").format(fmt).options(**opts)
     if fmt == "csv":
         writer = writer.option("header", True).option("nullValue", "").option("emptyValue", "")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(target)
+    parent, _, name = target.rstrip("/").rpartition("/")
+    run = uuid.uuid4().hex
+    # names with an underscore are no data for readers of the parent folder
+    fresh, old = (f"{parent}/_{name}.{kind}-{run}" if parent else f"_{name}.{kind}-{run}" for kind in ("new", "old"))
+    try:
+        writer.save(fresh)
+        _take_place(df.sparkSession, fresh, target.rstrip("/"), old)
+    except BaseException:
+        _Files(df.sparkSession, target).delete(fresh)
+        raise
+
+
+class _Files:
+    """The Hadoop file system of a path (any store that Spark writes to)."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self.fs.exists(self.path(path))
+
+    def rename(self, a: str, b: str) -> None:
+        if not self.fs.rename(self.path(a), self.path(b)):
+            raise OSError(f"cannot rename {a} to {b}")
+
+    def delete(self, path: str) -> None:
+        self.fs.delete(self.path(path), True)
+
+
+def _take_place(spark: SparkSession, fresh: str, target: str, old: str) -> None:
+    """Two renames; if the second fails, the old target goes back."""
+    files = _Files(spark, target)
+    had = files.exists(target)
+    if had:
+        files.rename(target, old)
+    try:
+        files.rename(fresh, target)
+    except BaseException:
+        if had:
+            files.rename(old, target)
+        raise
+    if had:
+        files.delete(old)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from jobtrend.plans.facts import national_fact_from_files, regional_fact_from_files
@@ -256,3 +257,89 @@ def test_checkpoint_folder_required_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_write_that_dies_leaves_the_old_target_whole(spark, scratch, fmt):
+    out = os.path.join(scratch, "report")
+    write_report(spark.range(5), out, fmt=fmt)
+    before = sorted(os.listdir(out))
+    dies = spark.range(1000).repartition(4).select(F.when(F.col("id") == 777, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        write_report(dies, out, fmt=fmt)
+    assert sorted(os.listdir(out)) == before and os.listdir(scratch) == ["report"]
+
+
+def test_a_report_may_read_what_it_replaces(spark, scratch):
+    out = os.path.join(scratch, "report/")
+    write_report(spark.range(5), out)
+    write_report(spark.read.parquet(out).where("id > 2"), out)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [3, 4]
+    assert os.listdir(scratch) == ["report"]
+
+
+def test_a_rename_that_fails_puts_the_old_target_back(spark, scratch, monkeypatch):
+    from jobtrend.sources import sinks
+
+    out = os.path.join(scratch, "report")
+    write_report(spark.range(5), out)
+    rename = sinks._Files.rename
+
+    def fails_for_new(self, a, b):
+        if ".new-" in a:
+            raise OSError("no place")
+        rename(self, a, b)
+
+    monkeypatch.setattr(sinks._Files, "rename", fails_for_new)
+    with pytest.raises(OSError):
+        write_report(spark.range(9), out)
+    assert spark.read.parquet(out).count() == 5 and os.listdir(scratch) == ["report"]
+
+
+def test_each_code_table_has_its_own_reader_options(monkeypatch):
+    from jobtrend.sources import codes
+
+    asked = {}
+    monkeypatch.setattr(codes, "read_code_table", lambda spark, name, fmt, path, options: asked.setdefault(name, (fmt, path, options)))
+    own = codes.parallel_reads("series_number", 1, 10**9, 64)
+    codes.read_code_tables(None, ["sm_state", "sm_series"], "jdbc", options={"url": "u", "fetchsize": "10"}, table_options={"sm_series": {**own, "fetchsize": "9000"}})
+    assert asked["sm_state"] == ("jdbc", None, {"url": "u", "fetchsize": "10"})
+    assert asked["sm_series"] == (
+        "jdbc", None, {"url": "u", "fetchsize": "9000", "partitionColumn": "series_number", "lowerBound": "1", "upperBound": "1000000000", "numPartitions": "64"},
+    )
+    with pytest.raises(ValueError):
+        codes.read_code_tables(None, ["sm_state"], table_options={"sm_series": own})
+    with pytest.raises(ValueError):
+        codes.parallel_reads("x", 0, 1, 0)
+
+
+def test_scratch_folders_go_when_their_block_ends(spark):
+    from jobtrend.session import scratch as removed_after
+    from jobtrend.session import shared_folder
+
+    kept = shared_folder(spark, "kept")
+    spark.range(1).write.parquet(kept)
+    with removed_after():
+        gone = shared_folder(spark, "gone")
+        spark.range(1).write.parquet(gone)
+        assert spark.read.parquet(gone).count() == 1
+    assert not os.path.exists(gone.removeprefix("file:")) and spark.read.parquet(kept).count() == 1
+
+
+def test_shared_folders_of_any_store_go_after_the_session_stopped(scratch):
+    code = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config(map={{
+    "spark.ui.enabled": "false", "spark.checkpoint.dir": "viewfs://store/in", "spark.hadoop.fs.viewfs.mounttable.store.link./in": "file://{scratch}"}}).getOrCreate()
+from jobtrend.session import shared_folder
+path = shared_folder(spark, "table")
+spark.range(3).write.parquet(path)
+assert spark.read.parquet(path).count() == 3
+spark.stop()
+"""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=120)
+    assert not [x for x in os.listdir(scratch) if x.startswith("table-")]

@@ -275,34 +275,40 @@ def test_split_ranks_equal_window_ranks(spark, seed):
     assert got == want
 
 
-def test_slices_keep_the_order_of_changes(spark):
-    from jobtrend.operators.rank import slice_of
-
-    rnd = random.Random(5)
-    values = [0.0, -0.0, 5e-324, -5e-324, 1e308, -1e308] + [rnd.choice([-1, 1]) * 10 ** rnd.uniform(-9, 4) for _ in range(3000)]
-    got = spark.createDataFrame([(v,) for v in values], "x double").select("x", slice_of(F.col("x")).alias("s")).collect()
-    ordered = sorted(got, key=lambda r: r.x)
-    assert all(a.s <= b.s for a, b in zip(ordered, ordered[1:]))
-    assert len({r.s for r in got}) > 300
-
-
-def test_a_hot_rank_group_spreads_over_tasks(spark):
-    """One group of 4,000 regions: ranks equal the window's, and no task ranks most of its rows."""
-    from jobtrend.operators.rank import add_ranks_split
+@pytest.mark.parametrize("name, n", [("{i:05d}-{c}", 4000), ("Supplier number {i:06d}", 50_000)])
+def test_a_hot_rank_group_spreads_over_tasks(spark, name, n):
+    """One group, with ties whose names begin alike: ranks equal the window's, and ranges are even."""
+    from jobtrend.operators.rank import add_ranks_split, placed
 
     rnd = random.Random(9)
-    rows = [("S", "01", f"{rnd.choice('abcdefgh')}{rnd.choice('klmn')}{rnd.choice('wxyz')}{i:05d}", 0.0 if i % 3 == 0 else rnd.gauss(0.02, 0.05)) for i in range(4000)]
+    tied = 1 if n > 10_000 else 3
+    rows = [("S", "01", name.format(i=i, c=rnd.choice("abc")), 0.0 if i % tied == 0 else rnd.gauss(0.02, 0.05)) for i in range(n)]
+    rnd.shuffle(rows)
     base = spark.createDataFrame(rows, "ss string, Month string, region string, pct_change double")
     df = base.select("*", *[F.col("pct_change").alias(f"pct_change{s}") for s in ("_mom", "_ytd", "_ann")])
     methods = {"_mom": "average"}
     want = {r.region: (r["rank"], r.rank_mom) for r in add_ranks(df, ["ss", "Month"], ["region"], methods).collect()}
     split = add_ranks_split(df, ["ss", "Month", "region"], ["ss", "Month"], ["region"], methods)
     assert {r.region: (r["rank"], r.rank_mom) for r in split.collect()} == want
-    from jobtrend.operators.rank import TIE_PREFIX, slice_of
+    places = placed(df, ["ss", "Month"], ["region"], ["_mom", "_ytd", "_ann", ""])
+    sizes = [r["count"] for r in places.groupBy("_range").count().collect()]
+    assert sum(sizes) == 4 * n and len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
 
-    places = df.groupBy("ss", "Month", slice_of(F.col("pct_change")).alias("s"), "pct_change", F.substring("region", 1, TIE_PREFIX).alias("p")).count()
-    sizes = [r["count"] for r in places.collect()]
-    assert max(sizes) < 100 and len(sizes) > 500
+
+def test_split_ranks_of_odd_rows(spark):
+    """NULL keys are a group, NULL changes have no rank, an empty frame has no rows."""
+    from jobtrend.operators.rank import add_ranks_split
+
+    rows = [(None, "01", "a", 1.0), (None, "01", "b", 2.0), ("S", "01", "a", None), ("S", "01", "b", None), ("S", None, "a", 0.0), ("S", None, "b", -0.0)]
+    base = spark.createDataFrame(rows, "ss string, Month string, region string, pct_change double")
+    df = base.select("*", *[F.col("pct_change").alias(f"pct_change{s}") for s in ("_mom", "_ytd", "_ann")])
+    for methods in ({}, {"_mom": "average", "": None}, dict.fromkeys(("_mom", "_ytd", "_ann", ""))):
+        want = add_ranks(df, ["ss", "Month"], ["region"], methods)
+        got = add_ranks_split(df, ["ss", "Month", "region"], ["ss", "Month"], ["region"], methods)
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        assert add_ranks_split(df.where("region > 'z'"), ["ss", "Month", "region"], ["ss", "Month"], ["region"], methods).collect() == []
 
 
 def test_membership_counts_rows_with_a_null_key(spark):
@@ -349,3 +355,40 @@ def test_sums_from_the_cube_equal_sums_of_rows(spark):
     pairs += [(area_sums(clean, FIXTURE_PARAMS, c), area_sums_of(cube, FIXTURE_PARAMS, c)) for c in ("all", "over", "under")]
     for direct, derived in pairs:
         assert sorted(map(tuple, direct.collect()), key=str) == sorted(map(tuple, derived.select(*direct.columns).collect()), key=str)
+
+
+def test_seasonal_slices_go_to_their_own_targets(spark):
+    """sm_table_final_v2 is the unadjusted slice ("U"), sm_table_final_v3 the adjusted one ("S")."""
+    from jobtrend.plans.catalog import regional_clean_df
+    from jobtrend.plans.frames import regional_frames
+    from jobtrend.sources.fixture import FIXTURE_PARAMS
+
+    from tests.conftest import SF_SMALL
+
+    frames = regional_frames(regional_clean_df(spark, SF_SMALL), FIXTURE_PARAMS)
+    assert {r.seasonal for r in frames["sm_table_final_v2"].select("seasonal").distinct().collect()} == {"U"}
+    assert {r.seasonal for r in frames["sm_table_final_v3"].select("seasonal").distinct().collect()} == {"S"}
+
+
+def test_only_rows_that_pass_the_member_filter_are_exchanged(spark, monkeypatch):
+    from jobtrend.operators import aggregate
+
+    p = ReportParams(anchor_industry="Total Nonfarm", threshold=1000.0)
+    rows = [(f"A{i}", "Total Nonfarm", 2000.0 if i % 50 == 0 else 5.0, "S") for i in range(2000)] + [(f"A{i}", "Mining", 1.0, s) for i in range(2000) for s in "SU"]
+    rows += [(None, "Total Nonfarm", 9000.0, "S"), ("Statewide", "Total Nonfarm", 9000.0, "S")]
+    df = spark.createDataFrame(rows, "area_name string, industry_name string, value double, seasonal string")
+    want = sorted(r for r in rows if r[3] == "S" and r[0] and r[0] != "Statewide" and int(r[0][1:]) % 50 == 0)
+    for bits in (1 << 20, 64):  # with few bits others pass the filter, and the join drops them
+        monkeypatch.setattr(aggregate, "FILTER_BITS", bits)
+        assert sorted(map(tuple, large_area_rows(df, p).collect())) == want
+        members = aggregate.large_areas(df, p)
+        passed = aggregate.may_be_members(df, aggregate.member_filter(members, "area_name"), "area_name").count()
+        assert passed == 120 if bits > 64 else passed >= 120
+    assert large_area_rows(df.where("value < 0"), p).collect() == []
+    monkeypatch.setattr(aggregate, "FILTER_BITS", 1 << 20)
+    lines = large_area_rows(df, p)._jdf.queryExecution().executedPlan().toString().splitlines()
+    tested = next(i for i, x in enumerate(lines) if "getbit" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :|+-"))
+    below = [x for x in lines[tested + 1 :] if depth(x) <= depth(lines[tested]) + 6]
+    # what passes is exchanged at most; the rows themselves come from their scan by the broadcast filter
+    assert not any("Exchange hashpartitioning(area_name" in x for x in below[:3]), lines
