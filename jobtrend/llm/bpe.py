@@ -99,19 +99,22 @@ def vocabulary(path: str) -> tuple[Vocabulary, TextEncoder]:
     return kept["bpe", path]
 
 
-def encode(docs: DataFrame, tokenizer: str | None = None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``row`` (the columns to keep) and ``ids`` of every text."""
+def encode(docs: DataFrame, tokenizer: str | None = None, text: str = "text", keep: list[str] | None = None, decoded: bool = False) -> DataFrame:
+    """``row`` (the columns to keep) and ``ids`` of every text; with ``decoded`` also ``text``, decoded from the ids in the same task."""
     path = tokenizer or default_tokenizer()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, encoder = vocabulary(path)
+        known, encoder = vocabulary(path)
         for batch in slices(batches, lambda x: x.column("body"), *CALL):
             ids, begins = encoder.encode_column(batch.column("body"))
-            found = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), found], names=["row", "ids"])
+            columns = [batch.column("row"), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids, pa.int32()))]
+            if decoded:
+                columns.append(pa.array([known.text(ids[a:b]) for a, b in zip(begins, begins[1:])], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "ids", "text"][: len(columns)])
 
     given = docs.select(whole_row(docs, keep).alias("row"), F.col(text).cast("string").alias("body"))
-    return given.mapInArrow(task, StructType([given.schema["row"], StructField("ids", ArrayType(IntegerType()))]))
+    fields = [given.schema["row"], StructField("ids", ArrayType(IntegerType())), StructField("text", StringType())]
+    return given.mapInArrow(task, StructType(fields if decoded else fields[:2]))
 
 
 def decode(encoded: DataFrame, tokenizer: str | None = None, ids: str = "ids") -> DataFrame:

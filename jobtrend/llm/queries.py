@@ -69,11 +69,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"]))
-    return decoded.select(
-        "row.row.doc_id",
-        F.size("row.ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("row.ids", ","), 256).alias("ids_sha256"),
+    coded = bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"], decoded=True)
+    return coded.select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
 

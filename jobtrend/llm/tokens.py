@@ -24,7 +24,7 @@ from jobtrend.llm.common import process_cache, utf8_buffer
 
 END_OF_TEXT = 2
 #: Rows and bytes of text that are encoded in one call.
-CALL = (1 << 16, 1 << 22)
+CALL = (1 << 16, 1 << 21)
 #: Words of one generation (about 200 bytes each), and the longest that are kept (bytes).
 KEPT_WORDS, KEPT_LENGTH = 300_000, 64
 #: Texts of more bytes are encoded in parts of about so many, cut at spaces inside of which no word lies.

@@ -63,6 +63,8 @@ def test_encode_and_decode_equal_the_library(spark):
         ((k, (e := LIBRARY.encode(t or "", add_special_tokens=False)).ids, LIBRARY.decode(e.ids, skip_special_tokens=False)) for k, t in texts), key=str
     )
     assert all(r.row.row.row == "r" for r in got)
+    both = bpe.encode(odd_documents(spark, texts), decoded=True).collect()
+    assert sorted(((r.row.doc_id, r.ids, r.text) for r in both), key=str) == sorted(((r.row.row.doc_id, r.row.ids, r.text) for r in got), key=str)
     assert bpe.decode(bpe.encode(odd_documents(spark, []))).collect() == []
 
 
