@@ -16,12 +16,14 @@ paragraph an svg) or where a block around it ends, and only what comes before it
 block-level start tag goes. The text of math stays.
 
 Defined results: null and empty pages have empty text; a page without any tag is one block of
-text; unclosed, crossed and stray tags are repaired as browsers do for the common cases. Rows
+text; unclosed, crossed and stray tags are repaired as browsers do for the common cases; unknown and custom
+elements are inline; a page is parsed in time linear in its length, whatever its markup. Rows
 come back one for one, their columns inside ``row``, the text and its length inside ``found``.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import random
@@ -46,12 +48,12 @@ SWITCH = 0.5
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "plaintext"}
 DROPPED = {"head", "noscript", "template", "svg", "select", "button", "object", "canvas", "audio", "video", "datalist", "dialog"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var output meter progress wbr br img input".split())
 MATH = set("math mi mo mn ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd mstyle merror mpadded mphantom mspace mfenced menclose maction semantics annotation annotation-xml".split())
-INLINE |= MATH
 CLOSES_P = set("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 #: Block-level start tags; where an element without text of the page never ends, the page goes on at the first one.
 BLOCKS = CLOSES_P | {"li", "dt", "dd", "caption", "thead", "tbody", "tfoot", "tr", "td", "th"}
+#: All elements that are blocks of their own; every other one, unknown and custom ones too, is inline.
+BLOCK_LEVEL = BLOCKS | {"html", "body", "legend", "optgroup", "option", "colgroup", "search", "listing"}
 #: Start tags that end an open svg, except in the elements of SVG_HTML.
 LEAVES_SVG = BLOCKS | set("b big code em embed i img nobr ruby s small span strong strike sub sup tt u var br".split())
 SVG_HTML = ("foreignobject", "desc", "title")
@@ -84,12 +86,61 @@ _GROUP_OF = {word: k for k, words in enumerate(TOKEN_GROUPS) for word in words.s
 _TAG_OF = {tag: k for k, tags in enumerate(TAG_GROUPS) for tag in tags}
 HASHED = 4
 
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+(?:>|\Z)|([^<]++)|<", re.S)
+_TAG = r"<(/?)([A-Za-z][^\s/>]*+)"
+_PARTS = r"<!--(?:-?>|.*?(?:--!?>|\Z))|{quoted}|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+(?:>|\Z)|([^<]++)|<"
+_TOKEN = re.compile(_PARTS.format(quoted=_TAG + r"((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"), re.S)
+#: The same for tags whose quotes do not end.
+_LOOSE = re.compile(_PARTS.format(quoted=r"(?!)()()()"), re.S)
+_LESS = re.compile("<" + "()" * 7)
+_TAG_NAME = re.compile(_TAG)
+_SPECIAL = re.compile("[\"'>]")
 _TOKENS_IN = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 _PUNCTUATION = re.compile(r"[.,;:!?]")
 
 
+class Tokens:
+    """The tags, comments and texts of a page, each found in constant time on average, whatever the markup."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = source.rfind(">")
+        self.ends: tuple[list[int], list[bool]] | None = None
+
+    def at(self, place: int) -> re.Match:
+        source = self.source
+        if source[place] != "<" or source.startswith(("<!", "<?"), place):
+            return _TOKEN.match(source, place)
+        if place > self.last:  # no tag can end
+            return (_LOOSE if source.startswith("</", place) else _LESS).match(source, place)
+        if self.ends is None:
+            m = _TOKEN.match(source, place)
+            if m[2] is None and m[5] is not None:  # a quote does not end: find out once where that is so
+                self._find_ends()
+            return m
+        name = _TAG_NAME.match(source, place)
+        if name is None:
+            return _TOKEN.match(source, place)
+        places, ends = self.ends
+        k = bisect.bisect_left(places, name.end())
+        return (_TOKEN if k < len(places) and ends[k] else _LOOSE).match(source, place)
+
+    def _find_ends(self) -> None:
+        """For each quote and ``>``: whether a tag that gets there outside quotes finds its end."""
+        places = [m.start() for m in _SPECIAL.finditer(self.source)]
+        ends = [False] * (len(places) + 1)
+        following = {'"': len(places), "'": len(places)}
+        for k in range(len(places) - 1, -1, -1):
+            c = self.source[places[k]]
+            if c == ">":
+                ends[k] = True
+            else:
+                other = following[c]
+                ends[k] = other < len(places) and ends[other + 1]
+                following[c] = k
+        self.ends = places, ends
+
+
 class Page:
     """The block tree of a page, and its text in page order."""
 
@@ -104,6 +155,7 @@ class Page:
         self.flow: list[tuple[int, str | None]] = []  # text of a node, or the edge of a block
         self.open: Counter[str] = Counter()  # names of the open elements
         self.behind: dict[int, int] = {}  # where the page goes on after the dropped element that begins at a place
+        self.tokens = Tokens(source)
         self._parse(source)
 
     def _open(self, parent: int, tag: str, attributes: str) -> int:
@@ -129,25 +181,38 @@ class Page:
 
     def _parse(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("#root", 0)]  # open elements with the block that holds their text
+        at: dict[str, list[int]] = defaultdict(list)  # for each name the places in the stack
+        blocks = [0]  # the places of blocks
         place, links, end = 0, 0, len(source)
+        tokens = self.tokens
         edge = lambda: self.flow.append((stack[-1][1], None))
 
         def pop_to(k: int) -> None:
             nonlocal links
+            block = blocks[-1] >= k
+            if block:
+                edge()
             for name, _ in stack[k:]:
                 links -= name == "a"
                 self.open[name] -= 1
-            block = any(name not in INLINE for name, _ in stack[k:])
-            if block:
-                edge()
+                at[name].pop()
+                if name in BLOCK_LEVEL:
+                    blocks.pop()
             del stack[k:]
 
+        def push(name: str, node: int) -> None:
+            at[name].append(len(stack))
+            if name in BLOCK_LEVEL:
+                blocks.append(len(stack))
+            stack.append((name, node))
+            self.open[name] += 1
+
         while place < end:
-            m = _TOKEN.match(source, place)
+            m = tokens.at(place)
             begin, place = place, m.end()
             name = m[2] or m[5]
-            if name is None:
-                if m[7] is not None or m[0] == "<":
+            if not name:
+                if m[7] or m[0] == "<":
                     node = stack[-1][1]
                     text = html.unescape(m[0]) if "&" in m[0] else m[0]
                     self.flow.append((node, text))
@@ -161,15 +226,11 @@ class Page:
                 continue
             name, closing, attributes = name.lower(), m[1] or m[4], m[3] or m[6] or ""
             if closing:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        pop_to(k)
-                        break
-                    if name in INLINE and stack[k][0] not in INLINE:
-                        break
-                else:
-                    if name == "p":
-                        edge()
+                if at[name]:
+                    if name in BLOCK_LEVEL or at[name][-1] > blocks[-1]:
+                        pop_to(at[name][-1])
+                elif name == "p":
+                    edge()
                 continue
             if name in RAW:
                 close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(source, place)
@@ -184,25 +245,16 @@ class Page:
             if name == "body" or name == "html":
                 edge()
                 continue
-            if name in CLOSES_P:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == "p":
-                        pop_to(k)
-                        break
-                    if stack[k][0] not in INLINE:
-                        break
+            if name in CLOSES_P and stack[blocks[-1]][0] == "p":
+                pop_to(blocks[-1])
             if name in SIBLINGS:
                 ends, stops = SIBLINGS[name]
-                outermost = 0
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in stops:
-                        break
-                    if stack[k][0] in ends:
-                        outermost = k
-                if outermost:
-                    pop_to(outermost)
+                stop = max((at[x][-1] for x in stops if at[x]), default=0)
+                inside = [at[x][k] for x in ends if (k := bisect.bisect(at[x], stop)) < len(at[x])]
+                if inside:
+                    pop_to(min(inside))
             node = stack[-1][1]
-            if name in INLINE:
+            if name not in BLOCK_LEVEL:
                 if name == "a":
                     self.counts[node][4] += 1
                     links += 1
@@ -211,14 +263,11 @@ class Page:
                 elif name in ("br", "mtd"):
                     self.flow.append((node, " "))
                 if name not in VOID and not (name in MATH and attributes.rstrip().endswith("/")):
-                    stack.append((name, node))
-                    self.open[name] += 1
+                    push(name, node)
                 continue
             edge()
-            if name in VOID:
-                continue
-            stack.append((name, self._open(node, name, attributes)))
-            self.open[name] += 1
+            if name not in VOID:
+                push(name, self._open(node, name, attributes))
 
     def _skip(self, source: str, begin: int, place: int, dropped: str) -> None:
         """Notes in ``behind`` where the page goes on after a dropped element, and after those met inside it.
@@ -259,10 +308,10 @@ class Page:
 
         push(dropped, begin)
         while place < len(source):
-            m = _TOKEN.match(source, place)
+            m = self.tokens.at(place)
             begin, place = place, m.end()
             name = m[2] or m[5]
-            if name is None:
+            if not name:
                 if stack[-1][0] == "head" and (m[7] or m[0]) and not m[0].startswith(("<!", "<?", "</")) and not m[0].isspace():
                     pop_to(0, begin)  # text ends a head
                     return
@@ -273,7 +322,7 @@ class Page:
                 if at[name]:
                     if pop_to(at[name][-1], begin, place):
                         return
-                elif name in ("body", "html") or (self.open[name] > 0 and (name not in INLINE or stack[0][0] == "svg")):
+                elif name in ("body", "html") or (self.open[name] > 0 and (name in BLOCK_LEVEL or stack[0][0] == "svg")):
                     pop_to(0, begin)
                     return
                 continue

@@ -6,6 +6,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -85,9 +86,40 @@ def test_odd_pages(spark, trees):
     assert html_text.extract(frame.limit(0), model=trees).count() == 0
 
 
-def test_unclosed_markup_is_linear(trees):
-    for source in ("<" * 50_000, "<a " * 20_000, '<a x="' * 20_000, "<p>" * 20_000, "<b><p>" * 3_000, "<!--" * 20_000, "</p>" * 20_000):
-        _text(trees, source)
+HOSTILE = (
+    "<", "<a ", '<a x="', "<p>", "<b><p>", "<!--", "</p>", '<a "', "<p '", '<a "x" ', "<a '>'", "<b><hr>", "<i><b>", "<x-y>", "</", "<div><li></li>", "<ul><li>", "<a'>", '<a "\'>',
+)
+
+
+LONG = [x * 100_000 for x in HOSTILE] + [
+    "<b>" * 50_000 + "</i>" * 50_000, "<i><div>" + "<b>" * 50_000 + "</i>" * 50_000, "<a '>' " * 100_000 + '"', "<a '>' " * 100_000 + '">',
+    "<b>" * 50_000 + "<hr>" * 50_000, "<div>" * 50_000 + "<li></li>" * 50_000,
+]
+
+
+@pytest.mark.parametrize("source", LONG, ids=range(len(LONG)))
+def test_hostile_markup_is_linear(source):
+    began = time.time()
+    html_text.Page(source)
+    assert time.time() - began < 20  # a quadratic parser takes minutes
+
+
+def test_tags_end_as_a_single_pattern_has_it():
+    """The table of quotes that do not end gives the tokens that trying the pattern everywhere gives."""
+    rng = random.Random(12)
+    for _ in range(3000):
+        source = "".join(rng.choice(["<a ", "</b", "<", ">", '"', "'", "x", "<!--", "-->", "<!-->", "</", " "]) for _ in range(rng.randrange(30)))
+        tokens, place = html_text.Tokens(source), 0
+        while place < len(source):
+            got, want = tokens.at(place), html_text._TOKEN.match(source, place)
+            assert (got.end(), got[2] or got[5] or "", got[3] or got[6] or "", got[7] or "") == (want.end(), want[2] or want[5] or "", want[3] or want[6] or "", want[7] or ""), source
+            place = got.end()
+
+
+def test_empty_comments_and_custom_elements_lose_no_text():
+    assert _all_text("<p>one</p><!--><p>two</p>") == _all_text("<p>one</p><!---><p>two</p>") == _all_text("<p>one</p><!--x--><p>two</p>")
+    assert "two" in _all_text("<p>one</p><!-->two") and "shown" in _all_text("<!--[if !IE]><!--><p>shown</p><!--<![endif]-->")
+    assert _all_text("<p>one <custom-el>two</custom-el> three</p>") == _all_text("<p>one <b>two</b> three</p>")
 
 
 def _toxic_rows(n, seed, rude=("idiot", "moron", "loweisch", "loweiung")):
