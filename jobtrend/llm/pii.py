@@ -12,7 +12,7 @@ every candidate. A valid base match always stays; another candidate is added if
 classifier gives it ADD_AT or more and it overlaps no base match.
 
 Start and end of a match follow from the lengths of the matches and of the text between
-them, so a text is read a fixed number of times however many matches it holds. Possessive
+them, by running sums that take n log n steps for n matches, and overlaps are found by binary search. Possessive
 quantifiers and a look-behind keep the base patterns linear; they match the same spans.
 
 Defined results: null text is empty and has no spans; an empty table gives no rows and fits
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +58,8 @@ CUES = {
 COUNTER_CUES = r"(?:version|isbn|issn|order|invoice|article|page|section|chapter|build|id)\W*(?:no\.?|number|nr\.?)?\W*$"
 CONTEXT = 24
 ADD_AT = 0.5
+#: Characters of the pieces that texts are redacted in.
+PIECE = 1024
 EM_ROUNDS = 50
 LABELERS = ("pattern", "validator", "gazetteer", "context", "beside")
 SHAPES = ("length", "share", "parts")
@@ -88,21 +91,55 @@ def _valid(kind: str, x: Column) -> Column:
     return F.lit(True)
 
 
+def _running(values: Column, combine) -> Column:
+    """For each place of an array what ``combine`` (sum or maximum) gives up to there: n log n steps, by doubling."""
+    n = F.size(values)
+    rounds = F.when(n > 1, F.sequence(F.lit(0), F.ceil(F.log2(n)).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+    def double(held, k):
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(held, lambda x, i: F.when(i >= back, combine(x, F.get(held, i - back))).otherwise(x))
+
+    return F.aggregate(rounds, values, double)
+
+
+def _before(sorted_: Column, below) -> Column:
+    """How many entries at the front of an array satisfy ``below`` (all others come behind them): a binary search."""
+    n = F.size(sorted_)
+    rounds = F.sequence(F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int"), F.lit(0), F.lit(-1))
+
+    def step(at, k):
+        to = at + F.call_function("shiftleft", F.lit(1), k)
+        return F.when((to <= n) & below(F.get(sorted_, to - 1)), to).otherwise(at)
+
+    return F.aggregate(rounds, F.lit(0), step)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often and wherever (in lambdas, too) it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _spans(matches: Column, gaps: Column) -> Column:
     """Spans of the matches, from what lies between them; ``before`` and ``after`` are the neighbours."""
     empty = F.array().cast("array<struct<start:int,end:int,text:string,before:string,after:string>>")
 
-    def step(held, i):
-        match, gap = F.element_at(matches, i), F.element_at(gaps, i)
-        start = held["at"] + F.length(gap)
-        end = start + F.length(match)
-        span = F.struct(
-            start.alias("start"), end.alias("end"), match.alias("text"), F.lower(F.right(gap, F.lit(CONTEXT))).alias("before"), F.left(F.element_at(gaps, i + 1), F.lit(1)).alias("after")
-        )
-        return F.struct(end.alias("at"), F.concat(held["spans"], F.array(span)).alias("spans"))
+    def placed(held):
+        # a match ends behind all gaps and matches up to it
+        lengths = F.transform(held["m"], lambda m, i: F.length(m) + F.length(F.get(held["g"], i)))
+
+        def span(ends):
+            def one(match, i):
+                gap, after, end = F.get(held["g"], i), F.get(held["g"], i + 1), F.get(ends, i)
+                return F.struct(
+                    (end - F.length(match)).alias("start"), end.alias("end"), match.alias("text"), F.lower(F.right(gap, F.lit(CONTEXT))).alias("before"), F.left(after, F.lit(1)).alias("after")
+                )
 
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    return F.when(F.size(matches) > 0, F.aggregate(F.sequence(F.lit(1), F.size(matches)), start, step, lambda x: x["spans"])).otherwise(empty)
+            return F.transform(held["m"], one)
+
+        return _let(_running(lengths, lambda x, y: x + y), span)
+
+    return F.when(F.size(matches) > 0, _let(F.struct(matches.alias("m"), gaps.alias("g")), placed)).otherwise(empty)
 
 
 def _vote(yes: Column, no: Column) -> Column:
@@ -227,9 +264,20 @@ def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     place = F.array(*(F.lit(k) for k in KINDS))
     order = lambda s: F.struct(F.array_position(place, s["kind"]).alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
     marked = held.select("row", F.transform(F.filter("spans", lambda s: s["base"]), brief).alias("base"), F.filter("spans", lambda s: ~s["base"]).alias("other"))
-    added = F.filter("other", lambda s: (_score(s, weights) >= ADD_AT) & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    everything = F.transform(F.array_sort(F.transform(F.concat("base", F.transform(added, brief)), order)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return marked.select("row", F.struct("base", F.array_distinct(everything).alias("all")).alias("found"))
+    of_kind = lambda kind: lambda s: s["kind"] == kind
+
+    def overlaps(s, own):
+        # spans of a kind ascend and do not overlap: the last one that begins before the end of s reaches farthest
+        return _let(_before(own, lambda b: b["start"] < s["end"]), lambda n: F.coalesce(F.get(own, n - 1)["end"] > s["start"], F.lit(False)))
+
+    def free(kinds):
+        return F.filter("other", lambda s: (_score(s, weights) >= ADD_AT) & ~reduce(lambda x, y: x | y, (overlaps(s, kinds[k]) for k in KINDS)))
+
+    added = F.when(F.size("other") > 0, _let(F.struct(*(F.filter("base", of_kind(k)).alias(k) for k in KINDS)), free)).otherwise(F.col("other"))
+    distinct = lambda found: F.filter(found, lambda s, i: (i == 0) | (F.get(found, i - 1) != s))
+    ordered = _let(F.array_sort(F.transform(F.concat("base", F.transform(added, brief)), order)), distinct)
+    everything = F.transform(ordered, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return marked.select("row", F.struct("base", everything.alias("all")).alias("found"))
 
 
 def joined(spans: Column) -> Column:
@@ -238,16 +286,46 @@ def joined(spans: Column) -> Column:
 
 
 def redact(found: DataFrame, text: str = "text") -> DataFrame:
-    """The input's columns, each span of the text replaced by its kind in angle brackets."""
+    """The input's columns, each span of the text replaced by its kind in angle brackets.
+
+    Spans that overlap are one cut, named after the first. The text is taken apart into pieces of PIECE characters,
+    so finding a place in it does not read it from the start.
+    """
     body = F.col(f"row.{text}")
+    by_start = F.array_sort(F.transform("found.all", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
-    def step(held, s):
-        fresh = s["start"] >= held["at"]
-        parts = F.array(F.substring(body, held["at"] + 1, s["start"] - held["at"]), F.concat(F.lit("<"), s["kind"], F.lit(">")))
-        return F.struct(F.greatest(held["at"], s["end"]).alias("at"), F.when(fresh, F.concat(held["parts"], parts)).otherwise(held["parts"]).alias("parts"))
+    def cuts_of(spans):
+        def reached(reach):
+            opens = F.filter(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: (i == 0) | (F.get(spans, i)["start"] >= F.get(reach, i - 1)))
 
-    by_start = F.array_sort(F.transform("found.all", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    rest = lambda x: F.concat(F.array_join(x["parts"], ""), F.substring(body, x["at"] + 1, F.length(body)))
-    clean = F.when(F.size("found.all") > 0, F.aggregate(by_start, start, step, rest)).otherwise(body)
+            def cuts(firsts):
+                def cut(i, k):
+                    last = F.coalesce(F.get(firsts, k + 1), F.size(spans)) - 1
+                    return F.struct(F.get(spans, i)["start"].alias("start"), F.get(reach, last).alias("end"), F.concat(F.lit("<"), F.get(spans, i)["kind"], F.lit(">")).alias("name"))
+
+                return F.transform(firsts, cut)
+
+            return _let(opens, cuts)
+
+        return _let(_running(F.transform(spans, lambda s: s["end"]), F.greatest), reached)
+
+    def without(cuts):
+        def clean(piece, c):
+            begin, end = c * PIECE, c * PIECE + F.length(piece)
+
+            def part(t, low, high):
+                left = F.when(t == low, begin).otherwise(F.get(cuts, t - 1)["end"])
+                right = F.when(t == high, end).otherwise(F.get(cuts, t)["start"])
+                name = F.when((t < high) & (F.get(cuts, t)["start"] >= begin), F.get(cuts, t)["name"]).otherwise("")
+                return F.concat(F.substring(piece, left - begin + 1, F.greatest(right - left, F.lit(0))), name)
+
+            def parts(at):
+                whole = F.transform(F.sequence(at["low"], at["high"]), lambda t: part(t, at["low"], at["high"]))
+                return F.when(at["low"] >= at["high"], piece).otherwise(F.array_join(whole, ""))
+
+            return _let(F.struct(_before(cuts, lambda x: x["end"] <= begin).alias("low"), _before(cuts, lambda x: x["start"] < end).alias("high")), parts)
+
+        return F.array_join(F.transform(F.regexp_extract_all(body, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), clean), "")
+
+    clean = F.when(F.size("found.all") > 0, _let(_let(by_start, cuts_of), without)).otherwise(body)
     return found.select(F.col("row").withField(text, clean).alias("row")).select("row.*")
