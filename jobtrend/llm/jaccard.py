@@ -1,16 +1,17 @@
-"""N-gram Jaccard join by fixed-depth MinHash banding, with exact verification.
+"""N-gram Jaccard join by a MinHash LSH forest, with exact verification.
 
 Texts with the same set of shingles (five consecutive words) form a class, so copies are
-handled once. A class has TREES bands of min-hashes, each hashed to one number. Their depth is a
-constant, computed before any row is read (``matched_depth``): the largest up to DEPTH by which
-two sets at the threshold agree in some band with at least the target recall; with 24 bands that is
-four hashes for 0.99999. No more min-hashes are computed, and there is no trie, no sorted prefix
-and no shortening by the data, so this is not an LSH forest. Classes that share a band ("prefix" in
-the code) are tied to the smallest of them, and the
-components of these ties are the candidate groups: a pair that any tree finds lies in one.
-Inside a group all pairs are compared exactly, by counting common shingles with matrix
-products; a group goes to tasks in pairs of blocks of BLOCK classes. Tasks return for each class its
-number of links and its smallest relative, never pairs.
+handled once. A class has a path of DEPTH min-hashes in each of TREES prefix tries; classes meet in the nodes
+of these tries, that is in prefixes of their paths. Long prefixes alone would miss pairs at the threshold, so they are
+shortened: everywhere until pairs at the threshold meet in some tree with the target recall
+(``longest_prefix``), and on to SHORTEST where the node above holds few classes (at most BLOCK), which costs little
+there. So a node with many classes, as boilerplate makes them, is taken apart by further min-hashes, and a sparse one is not.
+
+Classes of a node are compared by sketches, a byte of each min-hash; pairs whose sketches
+agree far less than those of a pair at the threshold (five deviations) are no candidates. Strong pairs tie classes, and the
+components of these ties are the candidate groups. Inside a group all pairs are compared exactly, by counting common
+shingles with matrix products; a group goes to tasks in pairs of blocks of BLOCK classes. Tasks return
+for each class its number of links and its smallest relative, never pairs.
 
 Only texts of classes in a group of two or more are read again for this.
 
@@ -22,6 +23,7 @@ other. n_links counts documents, not classes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,19 +37,26 @@ from jobtrend.llm.graph import components, in_blocks, map_whole_groups, roots
 SHINGLE = 5
 #: Similarity of a link, as a fraction, so that comparisons are exact.
 THRESHOLD = (4, 5)
-TREES, DEPTH = 24, 8
-RECALL = 0.99999
+TREES, DEPTH, SHORTEST = 24, 6, 4
+RECALL = 0.999
 #: Classes of a block, and columns of a matrix product.
 BLOCK, COLUMNS = 256, 4096
+#: Classes that are compared by sketches in one task's group, and deviations below the threshold that still pass.
+SKETCH_BLOCK, DEVIATIONS = 1024, 5.0
 
 
-def matched_depth(trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, similarity: float = THRESHOLD[0] / THRESHOLD[1]) -> int:
+def longest_prefix(trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, similarity: float = THRESHOLD[0] / THRESHOLD[1]) -> int:
     """The longest prefix by which pairs at the threshold still meet with the target recall."""
-    while depth > 1 and 1 - (1 - similarity**depth) ** trees < recall:
+    while depth > SHORTEST and 1 - (1 - similarity**depth) ** trees < recall:
         depth -= 1
     return depth
 
 
+def least_agreement(hashes: int, similarity: float = THRESHOLD[0] / THRESHOLD[1]) -> int:
+    """How many bytes of the sketches of a pair at the threshold agree at least, but for one pair in some millions."""
+    return math.floor(hashes * similarity - DEVIATIONS * math.sqrt(hashes * similarity * (1 - similarity)))
+
+
 def shingle_sets(words: Words, size: int = SHINGLE) -> list[np.ndarray]:
     """For each text its sorted distinct shingles, as 64-bit hashes."""
     at = words.runs(size)
@@ -71,44 +80,96 @@ def _sets_of(texts: pa.ChunkedArray, size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray], trees: int, depth: int, seed: int = 3) -> np.ndarray:
-    """For each set the hashed prefix of ``depth`` min-hashes in each tree (sets must not be empty)."""
+def signatures(sets: list[np.ndarray], trees: int = TREES, depth: int = DEPTH, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """For each set (none is empty) the hashed prefixes of its paths, from SHORTEST to ``depth`` min-hashes
+    (set, length, tree), and a byte of each min-hash."""
     rng = np.random.default_rng(seed)
-    factors = rng.integers(0, 1 << 32, trees * DEPTH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-    shifts = rng.integers(0, 1 << 32, trees * DEPTH, dtype=np.uint64).astype(np.uint32)
+    factors = rng.integers(0, 1 << 32, trees * depth, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+    shifts = rng.integers(0, 1 << 32, trees * depth, dtype=np.uint64).astype(np.uint32)
     x = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     sizes = np.array([len(s) for s in sets])
     begins = np.cumsum(sizes) - sizes
-    out = np.zeros((len(sets), trees), np.uint64)
+    prefixes = np.zeros((len(sets), depth - SHORTEST + 1, trees), np.uint64)
+    sketch = np.zeros((len(sets), trees * depth), np.uint8)
     for t in range(trees):
         prefix = np.full(len(sets), t + 1, np.uint64)
-        for k in range(t * DEPTH, t * DEPTH + depth):
-            prefix = mix64(prefix ^ np.minimum.reduceat(x * factors[k] + shifts[k], begins).astype(np.uint64))
-        out[:, t] = prefix
-    return out
+        for k in range(depth):
+            least = mix64(np.minimum.reduceat(x * factors[t * depth + k] + shifts[t * depth + k], begins).astype(np.uint64) + np.uint64(1))
+            prefix = mix64(prefix ^ least)
+            sketch[:, t * depth + k] = least & np.uint64(0xFF)
+            if k + 1 >= SHORTEST:
+                prefixes[:, k + 1 - SHORTEST, t] = prefix + np.uint64(k)
+    return prefixes, sketch
 
 
 def _signed(docs: DataFrame, doc_id: str, text: str, depth: int) -> DataFrame:
-    """doc_id, identity, node (its class; null without shingles), prefixes (of each tree)."""
+    """doc_id, identity, name (of its class; null without shingles), sketch and prefixes (an array for each length)."""
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_identity(doc_id, text).alias("identity"), F.col(text).cast("string").alias("text"))
+    levels = [f"prefix{n}" for n in range(SHORTEST, depth + 1)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, lambda x: x.column("text")):
             sets = shingle_sets(Words(batch.column("text")))
             some = [k for k, s in enumerate(sets) if len(s)]
-            node = np.zeros(len(sets), np.int64)
-            prefixes: list = [None] * len(sets)
+            node: list = [None] * len(sets)
+            sketches: list = [None] * len(sets)
+            prefixes: list = [[None] * len(sets) for _ in levels]
             if some:
-                found = signatures([sets[k] for k in some], TREES, depth).view(np.int64)
-                for k, row in zip(some, found):
-                    node[k] = mix64(np.array([(mix64(sets[k]).sum() ^ np.bitwise_xor.reduce(sets[k])) + np.uint64(len(sets[k]))], np.uint64)).view(np.int64)[0]
-                    prefixes[k] = row.tolist()
-            none = np.array([p is None for p in prefixes])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("identity"), pa.array(node, mask=none), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "identity", "node", "prefixes"]
-            )
+                found, sketch = signatures([sets[k] for k in some], depth=depth)
+                for k, paths, own in zip(some, found.view(np.int64), sketch):
+                    node[k] = _name(sets[k])
+                    sketches[k] = own.tobytes()
+                    for level, path in zip(prefixes, paths):
+                        level[k] = path.tolist()
+            columns = [batch.column("doc_id"), batch.column("identity"), pa.array(node, pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x, pa.list_(pa.int64())) for x in prefixes)], names=["doc_id", "identity", "name", "sketch", *levels])
+
+    return given.mapInArrow(task, "doc_id long, identity binary, name binary, sketch binary" + "".join(f", {x} array<long>" for x in levels))
 
-    return given.mapInArrow(task, "doc_id long, identity binary, node long, prefixes array<long>")
+
+def _name(shingles: np.ndarray) -> bytes:
+    """128 bits of a set of shingles."""
+    one, two = mix64(shingles), mix64(shingles ^ np.uint64(0x9E3779B97F4A7C15))
+    return np.array([one.sum() ^ np.uint64(len(shingles)), mix64(two).sum()], np.uint64).tobytes()
+
+
+def _connected(rows: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """node, root of the classes in each group that strong pairs of sketches tie; every class is searched from once at most."""
+    node = rows.column("node").to_numpy()
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+    least = least_agreement(sketch.shape[1])
+    found_node, found_root = [], []
+    for a, b in zip(begins, [*begins[1:], len(node)]):
+        own, first = np.unique(node[a:b], return_index=True)
+        codes = sketch[a:b][first]
+        left = np.arange(len(own))
+        while len(left) > 1:
+            group, waiting, left = [left[0]], [left[0]], left[1:]
+            while waiting and len(left):
+                near = (codes[left] == codes[waiting.pop()]).sum(axis=1) >= least
+                group += left[near].tolist()
+                waiting += left[near].tolist()
+                left = left[~near]
+            if len(group) > 1:
+                found_node += own[group].tolist()
+                found_root += [int(own[min(group)])] * len(group)
+    if found_node:
+        yield pa.RecordBatch.from_arrays([pa.array(found_node, pa.int64()), pa.array(found_root, pa.int64())], names=["node", "root"])
+
+
+def meetings(classes: DataFrame, depth: int) -> DataFrame:
+    """bucket, node: the nodes of the tries in which two classes or more meet, with prefixes as long as there are many classes."""
+    keys = classes.select("node", F.posexplode(f"prefix{SHORTEST}").alias("tree", "bucket"))
+    out = None
+    for n in range(SHORTEST, depth + 1):
+        counts = written(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "prefixes")
+        few = counts if n == depth else counts.where(F.col("n") <= BLOCK)
+        met = keys.join(few.select("bucket"), "bucket").select("bucket", "node")
+        out = met if out is None else out.union(met)
+        if n < depth:
+            dense = keys.join(counts.where(F.col("n") > BLOCK).select("bucket"), "bucket").select("node", "tree")
+            keys = dense.join(classes.select("node", f"prefix{n + 1}"), "node").select("node", "tree", F.get(f"prefix{n + 1}", "tree").alias("bucket"))
+    return out
 
 
 def _verify(group: pa.Table) -> pa.RecordBatch | None:
@@ -152,15 +213,28 @@ def _verified(rows: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
             yield out
 
 
+def _classes(signed: DataFrame, depth: int) -> DataFrame:
+    """A row for each class: node (a number of its own, fixed by the written table), name, first, copies, sketch and prefixes."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "identity"))
+    levels = [f"prefix{n}" for n in range(SHORTEST, depth + 1)]
+    named = signed.where("name is not null").groupBy("name").agg(first.alias("first"), F.count("*").alias("copies"), *(F.first(x).alias(x) for x in ("sketch", *levels)))
+    return written(named.withColumn("node", F.monotonically_increasing_id()), "classes")
+
+
+def candidate_groups(classes: DataFrame, depth: int) -> DataFrame:
+    """node, component of the classes that strong pairs tie."""
+    met = written(in_blocks(written(meetings(classes, depth), "meetings"), "bucket", "node", SKETCH_BLOCK), "met")
+    strong = map_whole_groups(met.join(classes.select("node", "sketch"), "node"), ["bucket", "i", "j"], _connected, "node long, root long")
+    return written(components(strong.select(F.col("node").alias("u"), F.col("root").alias("v"))), "candidate-groups")
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, identity (of the row), class_id, n_links and stays (one identity a class), a row for each row."""
-    rows = written(_signed(docs, doc_id, text, matched_depth()), "signatures")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "identity"))
-    classes = written(rows.where("node is not null").groupBy("node").agg(first.alias("first"), F.count("*").alias("copies"), F.first("prefixes").alias("prefixes")), "classes")
-    paths = classes.select("node", F.explode("prefixes").alias("prefix"))
-    meet = written(paths.groupBy("prefix").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("prefix", "least"), "prefixes")
-    ties = paths.join(meet, "prefix").where("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v"))
-    groups = written(components(ties), "candidate-groups")
+    depth = longest_prefix()
+    signed = written(_signed(docs, doc_id, text, depth), "signatures")
+    classes = _classes(signed, depth)
+    rows = signed.select("doc_id", "identity", "name").join(classes.select("name", "node"), "name", "left").select("doc_id", "identity", "node")
+    groups = candidate_groups(classes, depth)
     members = groups.join(classes.select("node", "first.identity", "copies"), "node")
     members = written(in_blocks(members, "component", "node", BLOCK), "members")
     # the texts of these classes, by an exchange at every size: what is asked for grows with the input
@@ -169,11 +243,11 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     linked = compared.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
     # groups of one block have their final roots; those of several are tied by the roots of each pair
     whole = components(compared.where("not alone").select(F.col("node").alias("u"), F.col("root").alias("v"))).withColumnRenamed("component", "final")
-    placed = classes.drop("prefixes").join(linked, "node", "left").join(whole, "node", "left")
+    placed = classes.select("node", "first", "copies").join(linked, "node", "left").join(whole, "node", "left")
     placed = written(placed.select("*", F.coalesce("final", "root", "node").alias("component")), "placed")
     heads = written(placed.groupBy("component").agg(F.min("first").alias("head")), "heads")
     ruled = written(placed.join(heads, "component").select("node", F.col("head.doc_id").alias("class_id"), F.col("head.identity").alias("head"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "ruled")
-    return rows.select("doc_id", "identity", "node").join(ruled, "node", "left").select(
+    return rows.join(ruled, "node", "left").select(
         "doc_id",
         "identity",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -185,7 +259,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each class: the smallest doc_id. Rows without shingles stay too.
 
-    Of rows with the same doc_id and text one is returned (the sort for that is left out
+    Of rows with the same doc_id and text the first one by its JSON text is returned (that exchange is left out
     where there are none).
     """
     joined = join(docs, doc_id, text)
@@ -193,5 +267,5 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     packed = docs.select(whole_row(docs).alias("row"), row_identity(doc_id, text).alias("_own"))
     left = packed.join(gone, packed["_own"] == gone["_gone"], "left_anti")
     if joined.where("stays").groupBy("identity").count().where("count > 1").limit(1).count():
-        left = left.groupBy("_own").agg(F.first("row").alias("row"))
+        left = left.groupBy("_own").agg(F.min_by("row", F.to_json("row")).alias("row"))
     return left.select("row.*")

@@ -156,18 +156,17 @@ def test_jaccard_of_an_empty_table(spark):
     assert jaccard.join(docs).count() == 0 and jaccard.one_of_each(docs).count() == 0
 
 
-def test_forest_depth_follows_the_recall():
-    assert jaccard.matched_depth() == 4
-    for recall in (0.5, 0.9, 0.999, 0.9999999):
-        d = jaccard.matched_depth(recall=recall)
-        assert 1 - (1 - 0.8**d) ** jaccard.TREES >= recall or d == 1
+def test_prefixes_are_shortened_to_the_recall():
+    assert jaccard.longest_prefix() == 6
+    for recall in (0.5, 0.9, 0.999, 0.9999, 0.9999999):
+        d = jaccard.longest_prefix(recall=recall)
+        assert 1 - (1 - 0.8**d) ** jaccard.TREES >= recall or d == jaccard.SHORTEST
         assert d == jaccard.DEPTH or 1 - (1 - 0.8 ** (d + 1)) ** jaccard.TREES < recall
 
 
-def test_prefixes_meet_as_often_as_promised():
-    """Sets at similarity 0.8 share a prefix in some tree; of sets at 0.2 few do."""
+def test_prefixes_and_sketches_meet_as_often_as_promised():
+    """Sets at similarity 0.8 share prefixes and pass by their sketches; of sets at 0.2 few meet and none passes."""
     rng = np.random.default_rng(5)
-    met = {}
     for share in (0.8, 0.2):
         a, b = [], []
         for _ in range(300):
@@ -176,9 +175,29 @@ def test_prefixes_meet_as_often_as_promised():
             pool = rng.integers(0, 1 << 63, 2 * n - common, dtype=np.uint64) * np.uint64(2)
             a.append(pool[:n])
             b.append(np.concatenate([pool[:common], pool[n:]]))
-        x, y = (jaccard.signatures(s, jaccard.TREES, jaccard.matched_depth()) for s in (a, b))
-        met[share] = (x == y).any(axis=1).mean()
-    assert met[0.8] == 1.0 and met[0.2] < 0.15
+        (x, s), (y, t) = (jaccard.signatures(v) for v in (a, b))
+        met = (x == y).any(axis=2).mean(axis=0)
+        strong = ((s == t).sum(axis=1) >= jaccard.least_agreement(s.shape[1])).mean()
+        if share == 0.8:
+            assert met[0] == 1.0 and met[-1] >= 0.99 and strong == 1.0
+        else:
+            assert met[0] < 0.15 and met[-1] < 0.02 and strong == 0.0
+
+
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 4])
+def test_weak_pairs_do_not_chain(spark, monkeypatch, block):
+    """2,000 texts, each sharing half of its words with the next: classes meet, but only near copies are compared."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    pool = prose(60, 2000 * 20 + 60).split()
+    texts = [(k, " ".join(pool[20 * k : 20 * k + 50])) for k in range(2000)]
+    texts += [(5000 + k, texts[k][1] + " more words") for k in range(0, 2000, 100)]
+    depth = jaccard.longest_prefix()
+    classes = jaccard._classes(jaccard._signed(odd_documents(spark, texts), "doc_id", "text", depth), depth)
+    met = jaccard.meetings(classes, depth).select("node").distinct().count()
+    groups = [r["count"] for r in jaccard.candidate_groups(classes, depth).groupBy("component").count().collect()]
+    assert met > 1000 and max(groups) <= 3 and len(groups) <= 25
+    linked = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.join(odd_documents(spark, texts)).where("n_links > 0").collect()}
+    assert linked == {x: (k, 1) for k in range(0, 2000, 100) for x in (k, 5000 + k)}
 
 
 def _vector_links(rows, threshold=vectors.THRESHOLD):
