@@ -254,7 +254,7 @@ def test_estimates_are_unbiased_and_bounded():
     b = vectors.unit(a + rng.normal(size=(4000, 64)) * 0.05)
     true = (a * b).sum(axis=1)
     signs, factors = vectors.encode(a)
-    guess, deviation = vectors.estimate(signs, factors, b)
+    guess, deviation = vectors.estimate(signs, factors, np.einsum("nd,rde->nre", b, vectors.rotations(64)))
     error = guess - true
     assert abs(error.mean()) < 0.004
     assert (np.abs(error) <= vectors.CONFIDENCE * deviation).mean() > 0.999
@@ -271,3 +271,32 @@ def test_measured_recall(spark):
     want = int(((units @ units.T >= vectors.THRESHOLD).sum() - len(units)))
     found = sum(r.n_links for r in got)
     assert 0.995 * want <= found <= want
+
+
+def test_chance_meetings_do_not_grow_with_the_table():
+    """Band widths follow the number of classes: a vector meets about as many others by chance in 1,000 as in 16,000."""
+    rng = np.random.default_rng(15)
+    met = {}
+    for n in (1000, 16_000):
+        width = max(vectors.LEAST_BITS, math.ceil(math.log2(n)))
+        bands = vectors.band_count(width, vectors.THRESHOLD)
+        signs, _ = vectors.encode(vectors.unit(rng.normal(size=(n, 64))), width * bands)
+        values = vectors._values(signs.reshape(n, -1), width, vectors.THRESHOLD)
+        met[n] = sum(int((np.unique(v, return_counts=True)[1] ** 2).sum()) - n for v in values.T) / n
+        assert 1 - (1 - (1 - math.acos(0.93) / math.pi) ** width) ** bands >= vectors.RECALL
+    assert met[16_000] < 2 * met[1000]
+
+
+def test_bands_miss_few_pairs_at_the_threshold(spark):
+    rng = np.random.default_rng(16)
+    rows = []
+    for k in range(600):  # pairs whose cosine is just above 0.93
+        a = rng.normal(size=64)
+        a /= np.linalg.norm(a)
+        b = rng.normal(size=64)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        rows += [(2 * k, a.tolist(), 1), (2 * k + 1, (0.931 * a + math.sqrt(1 - 0.931**2) * b).tolist(), 1)]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).where("n_links > 0").collect()
+    assert len(got) >= 0.98 * len(rows)
+    assert all(r.n_links == 1 and r.component_id == r.vec_id // 2 * 2 for r in got)
