@@ -9,8 +9,8 @@ once, each lane with a cursor of its own.
 
 The search is a map over documents; nothing of them is shuffled. The windows are cut, hashed and
 grouped by a Spark job over the benchmark and written. They go to all tasks in blocks dealt out by
-a hash, each with BLOCK_BYTES of table on average (windows, slots, item ids); a window with its
-item ids is not split. The driver holds one block at a time. Each block is a pass and passes
+a hash, each with BLOCK_BYTES of table on average (windows, slots, item ids); a window in more than PIECE_ITEMS
+items comes in pieces, each with a part of its item ids. The driver holds one block at a time. Each block is a pass and passes
 join their marks, so no size is left out; what a pass returns is written before the next one,
 so a task holds one block too.
 
@@ -38,6 +38,8 @@ WINDOW = 13
 #: A document is contaminated if 1 of so many words, or more, is hit.
 SHARE = 20
 BLOCK_BYTES = 32 << 20
+#: Items of a window that stay together in a row, on average at most.
+PIECE_ITEMS = 4096
 #: Bytes of a window in a block besides its text, slots and item ids (keys, order, offsets).
 ROW_BYTES = 48
 TABLE_BITS = 18
@@ -130,26 +132,19 @@ def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return benchmark.mapInArrow(task, "item string, width int, window binary, key long, slots array<int>")
 
 
-def grouped(windows: DataFrame, parts: int) -> DataFrame:
-    """Each different window once, with its items; a task holds one of so many parts."""
+def grouped(windows: DataFrame, piece_items: int = PIECE_ITEMS) -> DataFrame:
+    """Each different window with its items, in pieces of about ``piece_items`` items, each a row.
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not held:
-            return
-        rows = pa.Table.from_batches(held)
-        items: dict[tuple[int, bytes], set[str]] = {}
-        first = []
-        for k, (width, window, item) in enumerate(zip(*(rows.column(x).to_pylist() for x in ("width", "window", "item")))):
-            if (own := items.get((width, window))) is None:
-                own = items[width, window] = set()
-                first.append(k)
-            if item is not None:
-                own.add(item)
-        out = rows.take(pa.array(first)).drop_columns(["item"]).append_column("items", pa.array(map(sorted, items.values()), pa.list_(pa.string())))
-        yield from out.to_batches(2_000)
-
-    return windows.repartition(parts, "width", "window").mapInArrow(task, "width int, window binary, key long, slots array<int>, items array<string>")
+    Spark groups by window and item first, with partial aggregates, so a window of very many items is spread over tasks and
+    no row, group or task holds all of them.
+    """
+    keys = ["width", "window"]
+    same = [F.first(x).alias(x) for x in ("key", "slots")]  # they follow from the window
+    each = written(windows.groupBy(*keys, "item").agg(*same), "window-items")
+    many = each.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > piece_items)
+    placed = each.join(written(many, "frequent-windows"), keys, "left")
+    piece = F.pmod(F.xxhash64("item"), F.ceil(F.coalesce("n", F.lit(1)) / piece_items)).alias("piece")
+    return placed.select(*keys, "key", "slots", "item", piece).groupBy(*keys, "piece").agg(*same, F.sort_array(F.collect_set("item")).alias("items"))
 
 
 def searches(windows: pa.Table) -> list[Search]:
@@ -176,14 +171,14 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     size = F.octet_length("window") + 4 * F.size("slots") + F.coalesce(F.octet_length("item"), F.lit(0)) + ROW_BYTES
     total = cut.agg(F.sum(size.cast("long"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    windows = written(grouped(cut, blocks), "windows")
+    windows = written(grouped(cut), "windows")
     out = docs.select(whole_row(docs).alias("row"), F.lit(None).cast(f"struct<{FOUND.replace(' ', ':').replace(',:', ',')}>").alias("found"))
     schema = out.schema
     for b in range(blocks):
         if b:
             out = written(out, "marked")
             held.unpersist()
-        part = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b)
+        part = windows.where(F.pmod(F.xxhash64("window", "piece"), F.lit(blocks)) == b)
         held = spark.sparkContext.broadcast(searches(part.toArrow()))
 
         def task(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:

@@ -283,3 +283,17 @@ def test_blocks_of_windows_have_a_byte_bound(spark, monkeypatch):
     assert sorted((r.row.doc_id, r.found.n_hit, r.found["items"]) for r in marked) == [(k, 100 * (k < 20), [str(k)] * (k < 20)) for k, _ in texts]
     size = lambda x: x.nbytes if isinstance(x, pa.Array) else sum(map(len, x))
     assert len(sent) > 1 and all(sum(size(s.strings) for s in found) <= limit for found in sent)
+
+
+def test_a_window_of_very_many_items_is_spread(spark):
+    text = prose(70, 13)
+    n = 100_000
+    benchmark = spark.range(n).selectExpr("concat('item', id) AS item_id", f"'{text}' AS text").union(spark.createDataFrame([(None, text), ("other", prose(71, 14))], "item_id string, text string"))
+    cut = decontaminate.windows_of(benchmark.selectExpr("item_id AS item", "text"))
+    rows = decontaminate.grouped(cut).collect()
+    sizes = [len(r["items"]) for r in rows]
+    assert sum(sizes) == n + 2 and max(sizes) < 2 * decontaminate.PIECE_ITEMS and len(sizes) > n / decontaminate.PIECE_ITEMS
+    docs = odd_documents(spark, [(1, "before " + text + " after"), (2, prose(72, 50))])
+    for block_bytes in (decontaminate.BLOCK_BYTES, 2 << 20):
+        found = {r.row.doc_id: r.found for r in decontaminate.mark(docs, benchmark, block_bytes=block_bytes).collect()}
+        assert found[1].n_hit == 13 and found[1]["items"] == sorted(f"item{k}" for k in range(n)) and not found[2]["items"]
