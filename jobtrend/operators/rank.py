@@ -75,10 +75,12 @@ def add_ranks_split(
     numbers = range(len(families))
     spans = rows.groupBy("_range", *rank_keys).agg(F.count(F.lit(1)).alias("_n"), *[F.min(only(i, "_row")).alias(f"_row{i}") for i in numbers])
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
-    offsets = spans.groupBy("_range").agg(F.sum("_n").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = spans.groupBy("_range").agg(F.sum("_n").alias("_rows")).select("_range", "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     offsets = F.broadcast(offsets)
     starts = spans.join(offsets, "_range").groupBy(*rank_keys).agg(*[F.min(F.col("_before") + F.col(f"_row{i}")).alias(f"_start{i}") for i in numbers])
-    rows = rows.join(offsets, "_range").withColumn("_place", F.col("_before") + F.col("_row"))
+    # were the exchange run twice with other bounds, some range would hold more rows than were counted in it
+    place = F.when(F.col("_row") < F.col("_rows"), F.col("_before") + F.col("_row"))
+    rows = rows.join(offsets, "_range").withColumn("_place", place.otherwise(F.raise_error(F.lit("ranges differ between readers of one exchange")).cast("long")))
     others = [c for c in df.columns if c not in key_cols]
     whole = rows.groupBy(*key_cols).agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in others], *[F.max(only(i, "_place")).alias(f"_place{i}") for i in numbers]

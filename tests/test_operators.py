@@ -296,6 +296,25 @@ def test_a_hot_rank_group_spreads_over_tasks(spark, name, n):
     assert max(sizes) < 2 * sum(sizes) / len(sizes)
 
 
+def test_ranks_compute_their_rows_once(spark):
+    """Counts and rows read one range exchange; growth is computed once."""
+    import re
+
+    from jobtrend.plans.catalog import regional_clean_df
+    from jobtrend.plans.reports import area_report
+    from jobtrend.sources.fixture import FIXTURE_PARAMS
+
+    from tests.conftest import SF_SMALL
+
+    for cohort in ("all", "over", "under"):
+        df = area_report(regional_clean_df(spark, SF_SMALL), FIXTURE_PARAMS, cohort=cohort)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert len(re.findall(r"[+:]- Exchange rangepartitioning", final)) == 1
+        assert len(re.findall(r"ReusedExchange \[_family", final)) >= 1
+        assert len(re.findall(r"Window \[[^\n]*last\(value_mom", final)) == 1
+
+
 def test_split_ranks_of_odd_rows(spark):
     """NULL keys are a group, NULL changes have no rank, an empty frame has no rows."""
     from jobtrend.operators.rank import add_ranks_split
