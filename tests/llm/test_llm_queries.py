@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import zlib
 
 import duckdb
@@ -15,7 +16,7 @@ import corpus_pipeline
 from jobtrend.llm import pii, toxicity
 from jobtrend.llm.queries import ORACLE, QUERIES
 
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm.test_duplicates import _jaccard, _repeated, _vector_links
 from tests.llm.test_text import _contamination, _ids
 
@@ -64,6 +65,15 @@ def test_token_query(spark):
         start += len(ids)
 
 
+def test_toxicity_of_held_out_rows(spark):
+    """Scores of rows that were not learned from put toxic texts before clean ones."""
+    marked = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{SF_CHECK}/labels.parquet").to_pylist()}
+    rows = [r for r in QUERIES["op3_toxicity"](spark, SF_CHECK).collect() if r.held_out and marked.get(r.doc_id) is not None]
+    toxic, clean = ([r.score for r in rows if marked[r.doc_id] == k] for k in (1, 0))
+    assert len(toxic) > 5 and len(clean) > 20
+    assert np.mean([(t > c) + 0.5 * (t == c) for t in toxic for c in clean]) > 0.85
+
+
 def test_vector_query(spark):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in pq.read_table(f"{SF_SMALL}/embeddings.parquet").to_pylist()]
     got = [tuple(r) for r in QUERIES["op6_rotation_codes"](spark, SF_SMALL).collect()]
@@ -124,6 +134,9 @@ def test_pipeline_stages(spark, scratch):
             model = toxicity.train(docs, labels)
             gone = {r.row.doc_id for r in toxicity.score(docs, model).where("found.predicted = 1").collect()}
             assert set(rows) == set(before) - gone
+            marked = [(r.doc_id, r.toxic) for r in labels.collect() if r.doc_id in before and r.toxic is not None]
+            kept = {k: np.mean([i in rows for i, toxic in marked if toxic == k]) for k in (0, 1)}
+            assert kept[0] > 0.9 and kept[1] < 0.5
         elif name == "n-gram Jaccard join":
             classes, _, _ = _jaccard(texts)
             assert set(rows) == {c for i, c, _ in classes}
@@ -140,6 +153,9 @@ def test_pipeline_stages(spark, scratch):
                     at = max(at, s.end)
                 assert rows[i].text == "".join(want) + text[at:]
                 assert rows[i].n_chars == len(rows[i].text)
+                # by the contract's own patterns nothing valid is left
+                assert not re.search(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", rows[i].text)
+                assert not any(9 <= len(re.sub("[^0-9]", "", m[0])) <= 15 for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", rows[i].text))
         else:
             _packed(out.collect(), texts)
         if name in ("toxicity", "n-gram Jaccard join", "benchmark decontamination"):
