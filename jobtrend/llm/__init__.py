@@ -1,6 +1,6 @@
 """Operators for preparing large text corpora.
 
-Ten operators (one module each), the queries that apply them to the test tables
+Thirteen operators (one module each), the queries that apply them to the test tables
 (``queries``) and their DuckDB statements (``sql``). Nothing outside this folder
 and ``corpus_pipeline.py`` imports it.
 

@@ -157,18 +157,23 @@ def _connected(rows: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(found_node, pa.int64()), pa.array(found_root, pa.int64())], names=["node", "root"])
 
 
-def meetings(classes: DataFrame, depth: int) -> DataFrame:
-    """bucket, node: the nodes of the tries in which two classes or more meet, with prefixes as long as there are many classes."""
+def meetings(classes: DataFrame, signed: DataFrame, depth: int) -> DataFrame:
+    """bucket, node: the nodes of the tries in which two classes or more meet, with prefixes as long as there are many classes.
+
+    Classes carry their shortest prefixes; longer ones are taken from the table of rows, for those that need them.
+    """
     keys = classes.select("node", F.posexplode(f"prefix{SHORTEST}").alias("tree", "bucket"))
     out = None
     for n in range(SHORTEST, depth + 1):
         counts = written(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "prefixes")
-        few = counts if n == depth else counts.where(F.col("n") <= BLOCK)
-        met = keys.join(few.select("bucket"), "bucket").select("bucket", "node")
+        held = written(keys.join(counts, "bucket"), "shared")
+        met = (held if n == depth else held.where(F.col("n") <= BLOCK)).select("bucket", "node")
         out = met if out is None else out.union(met)
         if n < depth:
-            dense = keys.join(counts.where(F.col("n") > BLOCK).select("bucket"), "bucket").select("node", "tree")
-            keys = dense.join(classes.select("node", f"prefix{n + 1}"), "node").select("node", "tree", F.get(f"prefix{n + 1}", "tree").alias("bucket"))
+            dense = held.where(F.col("n") > BLOCK).select("node", "tree")
+            own = dense.select("node").distinct().join(classes.select("node", F.col("first.identity").alias("identity")), "node")
+            longer = own.join(signed.select("identity", f"prefix{n + 1}"), "identity").dropDuplicates(["node"])
+            keys = dense.join(longer, "node").select("node", "tree", F.get(f"prefix{n + 1}", "tree").alias("bucket"))
     return out
 
 
@@ -213,17 +218,16 @@ def _verified(rows: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
             yield out
 
 
-def _classes(signed: DataFrame, depth: int) -> DataFrame:
-    """A row for each class: node (a number of its own, fixed by the written table), name, first, copies, sketch and prefixes."""
+def _classes(signed: DataFrame) -> DataFrame:
+    """A row for each class: node (a number of its own, fixed by the written table), name, first, copies, sketch and shortest prefixes."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "identity"))
-    levels = [f"prefix{n}" for n in range(SHORTEST, depth + 1)]
-    named = signed.where("name is not null").groupBy("name").agg(first.alias("first"), F.count("*").alias("copies"), *(F.first(x).alias(x) for x in ("sketch", *levels)))
+    named = signed.where("name is not null").groupBy("name").agg(first.alias("first"), F.count("*").alias("copies"), *(F.first(x).alias(x) for x in ("sketch", f"prefix{SHORTEST}")))
     return written(named.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
-def candidate_groups(classes: DataFrame, depth: int) -> DataFrame:
+def candidate_groups(classes: DataFrame, signed: DataFrame, depth: int) -> DataFrame:
     """node, component of the classes that strong pairs tie."""
-    met = written(in_blocks(written(meetings(classes, depth), "meetings"), "bucket", "node", SKETCH_BLOCK), "met")
+    met = written(in_blocks(written(meetings(classes, signed, depth), "meetings"), "bucket", "node", SKETCH_BLOCK), "met")
     strong = map_whole_groups(met.join(classes.select("node", "sketch"), "node"), ["bucket", "i", "j"], _connected, "node long, root long")
     return written(components(strong.select(F.col("node").alias("u"), F.col("root").alias("v"))), "candidate-groups")
 
@@ -232,9 +236,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     """doc_id, identity (of the row), class_id, n_links and stays (one identity a class), a row for each row."""
     depth = longest_prefix()
     signed = written(_signed(docs, doc_id, text, depth), "signatures")
-    classes = _classes(signed, depth)
+    classes = _classes(signed)
     rows = signed.select("doc_id", "identity", "name").join(classes.select("name", "node"), "name", "left").select("doc_id", "identity", "node")
-    groups = candidate_groups(classes, depth)
+    groups = candidate_groups(classes, signed, depth)
     members = groups.join(classes.select("node", "first.identity", "copies"), "node")
     members = written(in_blocks(members, "component", "node", BLOCK), "members")
     # the texts of these classes, by an exchange at every size: what is asked for grows with the input

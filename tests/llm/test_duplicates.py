@@ -192,9 +192,10 @@ def test_weak_pairs_do_not_chain(spark, monkeypatch, block):
     texts = [(k, " ".join(pool[20 * k : 20 * k + 50])) for k in range(2000)]
     texts += [(5000 + k, texts[k][1] + " more words") for k in range(0, 2000, 100)]
     depth = jaccard.longest_prefix()
-    classes = jaccard._classes(jaccard._signed(odd_documents(spark, texts), "doc_id", "text", depth), depth)
-    met = jaccard.meetings(classes, depth).select("node").distinct().count()
-    groups = [r["count"] for r in jaccard.candidate_groups(classes, depth).groupBy("component").count().collect()]
+    signed = jaccard._signed(odd_documents(spark, texts), "doc_id", "text", depth)
+    classes = jaccard._classes(signed)
+    met = jaccard.meetings(classes, signed, depth).select("node").distinct().count()
+    groups = [r["count"] for r in jaccard.candidate_groups(classes, signed, depth).groupBy("component").count().collect()]
     assert met > 1000 and max(groups) <= 3 and len(groups) <= 25
     linked = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.join(odd_documents(spark, texts)).where("n_links > 0").collect()}
     assert linked == {x: (k, 1) for k in range(0, 2000, 100) for x in (k, 5000 + k)}
