@@ -40,11 +40,6 @@ def process_cache() -> dict:
     return module.__dict__.setdefault("kept", {})
 
 
-def texts_of(column: pa.Array) -> list[str]:
-    """Python strings of an Arrow column; null counts as empty."""
-    return [x or "" for x in column.to_pylist()]
-
-
 def utf8_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column back to back, and where each value starts (one more at the end)."""
     column = column.cast(pa.large_string()).fill_null("")
