@@ -262,6 +262,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, doc_id: st
     seen = used if used.all() else ~used
     logit = np.concatenate([model.logits(b, c) for b, c in _slices(buckets[np.repeat(seen, counts)], counts[seen])])
     calibrate(model, logit, label[seen], weight[seen], language[seen])
+    del buckets, words_used, logit
+    pa.default_memory_pool().release_unused()  # the texts came through Arrow; a driver lives on after the fit
     return model
 
 
